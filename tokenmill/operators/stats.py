@@ -132,7 +132,16 @@ def corpus_stats(docs: DataFrame, kept: DataFrame, freq: DataFrame, pairs: DataF
 # ----------------------------------------------------------------------------- A6 / A7
 
 def ratio_col(nbytes: Column, ntokens: Column, digits: int = RATIO_DIGITS) -> Column:
-    return F.when(ntokens > 0, F.round(nbytes.cast("double") / ntokens, digits)).otherwise(F.lit(0.0))
+    """bytes / tokens rounded half-up on the exact quotient (0 when no tokens).
+
+    Integer arithmetic, so the result does not depend on floating-point
+    representation; it differs from half-even-on-binary only at exact ties.
+    """
+    scale = 10 ** digits
+    b, t = nbytes.cast("bigint"), ntokens.cast("bigint")
+    num = F.lit(2 * scale) * b + t
+    q = F.when(t > 0, F.floor(num / (F.lit(2) * t)))   # exact: integers far below 2**52
+    return F.when(t > 0, q.cast("double") / F.lit(float(scale))).otherwise(F.lit(0.0))
 
 
 def compression_stats(df: DataFrame, text_col: str = "text", ids_col: str = "ids",

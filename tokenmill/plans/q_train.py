@@ -1 +1,134 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries for vocabulary training (V1, V3, V4, V6, V8) and
+the small trained model other queries reuse.
+
+The oracle for training is "SQL-k": DuckDB replays k rounds of
+count-pairs / pick-best / replace on the same word table.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from tokenmill.constants import FIRST_MERGE_ID, SPECIAL_TOKENS_19
+from tokenmill.operators.stats import word_freq
+from tokenmill.operators.train import BpeModel, base_vocab, train_bpe
+from tokenmill.plans import sqlparts as Q
+from tokenmill.plans.catalog import register
+from tokenmill.sources.corpus import read_table
+
+SQL_K = 8          # merges the oracle replays
+SMALL_VOCAB = FIRST_MERGE_ID + SQL_K
+
+
+def merges_sql(words_sql: str, k: int, first_id: int = FIRST_MERGE_ID,
+               preset_cte: str | None = None, preset_k: int = 0, prefix: str = "") -> tuple[str, str]:
+    """CTE text for k training rounds over ``words_sql`` (columns word, n).
+
+    Words are strings ``<id><id>...``; a merge is a ``replace`` of
+    ``<a><b>`` by ``<n>``. The ``preset_k`` merges of the CTE ``preset_cte``
+    (columns rank, left, right, new_id) are applied first, in rank order.
+    Returns (ctes, name of the merges CTE).
+    """
+    x = prefix
+    ctes = [f"{x}w as materialized ({words_sql})",
+            f"{x}r0 as materialized (select n, '<' || array_to_string({Q.byte_ids('word')}, '><') || '>' as s from {x}w)"]
+    last = f"{x}r0"
+    for j in range(preset_k):
+        pat = f"(select '<' || \"left\" || '><' || \"right\" || '>' from {preset_cte} where rank = {j})"
+        rep = f"(select '<' || new_id || '>' from {preset_cte} where rank = {j})"
+        ctes.append(f"{x}pre{j} as materialized (select n, replace(s, {pat}, {rep}) as s from {last})")
+        last = f"{x}pre{j}"
+    sel = []
+    for i in range(k):
+        cur = last if i == 0 else f"{x}r{i}x"
+        ctes.append(f"{x}e{i} as materialized (select n, string_split(s[2:-2], '><') as l from {cur})")
+        ctes.append(
+            f"{x}p{i} as materialized (select a::int as a, b::int as b, sum(n)::bigint as f from "
+            f"(select n, unnest(l[1:-2]) as a, unnest(l[2:]) as b from {x}e{i} where len(l) > 1) "
+            f"group by 1, 2 having sum(n) >= 2 order by f desc, a, b limit 1)")
+        ctes.append(
+            f"{x}r{i + 1}x as materialized (select n, replace(s, coalesce((select '<' || a || '><' || b || '>' "
+            f"from {x}p{i}), '<none>'), '<{first_id + i}>') as s from {cur})")
+        sel.append(f"select {preset_k + i} as rank, a as \"left\", b as \"right\", {first_id + i} as new_id, "
+                   f"f as freq, (select sum(n * (length(s) - length(replace(s, '<', ''))))::bigint "
+                   f"from {x}r{i + 1}x) as tokens_after from {x}p{i}")
+    ctes.append(f"{x}m as (" + " union all ".join(sel) + ")")
+    return ",\n".join(ctes), f"{x}m"
+
+
+WORDS_SQL = f"""select word, count(*)::bigint as n
+  from (select unnest({Q.pretokens('text')}) as word from documents) group by word"""
+_ctes, _m = merges_sql(WORDS_SQL, SQL_K)
+TRAIN_SQL = f"with {_ctes}\nselect rank, \"left\", \"right\", new_id, freq, tokens_after from {_m}"
+
+
+@lru_cache(maxsize=8)
+def small_model(spark, sf: str) -> BpeModel:
+    """Exact model with ``SQL_K`` merges learned from all documents."""
+    return train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB)
+
+
+@register("V1_base_vocab", "with s as (select unnest(["
+          + ", ".join("'" + t + "'" for t in SPECIAL_TOKENS_19)
+          + "]) as t, generate_subscripts(["
+          + ", ".join("'" + t + "'" for t in SPECIAL_TOKENS_19)
+          + "], 1) - 1 as id)\n"
+          "select id::int as id, hex(encode(t)) as hex, 'special' as kind from s\n"
+          "union all select (19 + range)::int, lpad(upper(to_hex(range)), 2, '0'), 'byte' from range(256)")
+def v1_base_vocab(spark, sf):
+    v = base_vocab(spark)
+    return v.select("id", F.hex("bytes").alias("hex"), "kind")
+
+
+@register("V3_train_exact", TRAIN_SQL)
+def v3_train(spark, sf):
+    """Exact word-level BPE on all documents, SQL_K merges: the merge log (V8)."""
+    return small_model(spark, sf).merges_df(spark)
+
+
+STALE_K = 6   # stale_drop equals exact selection for the first 6 merges of these words
+_sc, _sm = merges_sql(WORDS_SQL, STALE_K)
+
+
+@register("V4_train_stale_drop", f"with {_sc}\nselect rank, \"left\", \"right\", new_id, freq, tokens_after from {_sm}")
+def v4_train_stale_drop(spark, sf):
+    """The lazy-heap selection of the reference trainer (first merges)."""
+    m = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + STALE_K,
+                  selection="stale_drop")
+    return m.merges_df(spark)
+
+
+@register("V8_merge_log_printable")
+def v8_merge_log(spark, sf):
+    """Merge log with the printable form of each pair."""
+    from tokenmill.functions.text import pair_repr
+    m = small_model(spark, sf)
+    merges = m.merges_df(spark)
+    vocab = m.vocab_df(spark).select("id", "bytes")
+    lv = vocab.select(F.col("id").alias("left"), F.col("bytes").alias("lb"))
+    rv = vocab.select(F.col("id").alias("right"), F.col("bytes").alias("rb"))
+    # the vocabulary has at most vocab_size rows: a bounded broadcast side
+    out = merges.join(F.broadcast(lv), "left").join(F.broadcast(rv), "right")
+    return out.select("rank", "left", "right", "new_id", "freq", "tokens_after",
+                      pair_repr("lb", "rb").alias("pair"))
+
+
+HALF = SQL_K // 2
+_d, _dm = merges_sql(WORDS_SQL, HALF, prefix="d_")
+BENCH_WORDS_SQL = f"""select word, count(*)::bigint as n
+  from (select unnest({Q.pretokens('text')}) as word from benchmark) group by word"""
+_b, _bm = merges_sql(BENCH_WORDS_SQL, SQL_K - HALF, first_id=FIRST_MERGE_ID + HALF,
+                     preset_cte=_dm, preset_k=HALF, prefix="b_")
+EXTEND_SQL = (f"with {_d},\n{_b}\nselect rank, \"left\", \"right\", new_id, freq, tokens_after from {_dm} "
+              f"union all select rank, \"left\", \"right\", new_id, freq, tokens_after from {_bm}")
+
+
+@register("V6_extend_vocab", EXTEND_SQL)
+def v6_extend(spark, sf):
+    """Learn half the merges on documents, then continue on the benchmark
+    texts (earlier merges applied to the new words first)."""
+    first = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + HALF)
+    more = train_bpe(word_freq(read_table(spark, sf, "benchmark")), SMALL_VOCAB, base_model=first)
+    return more.merges_df(spark)
