@@ -1 +1,111 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries for embedding-table jobs (M2-M6).
+
+Fixtures: ``embeddings.vec_id`` is the token id; positions for the
+rotary job are ``vec_id % 32``; conversation turns take the vector
+``(conv_id * 31 + turn) % 500``. Vectors are compared one dimension per
+row, rounded to 6 decimals.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tokenmill.functions.text import pre_tokenize, word_ids
+from tokenmill.functions.vectors import rms_normalize, rotary, softmax
+from tokenmill.operators.vectors import causal_history, embed_tokens, softmax_over
+from tokenmill.plans import sqlparts as Q
+from tokenmill.plans.catalog import register
+from tokenmill.sources.corpus import read_table
+
+
+def _per_dim(df, key_cols, arr):
+    return df.select(*key_cols, F.posexplode(arr).alias("dim", "value")) \
+        .select(*key_cols, "dim", F.round("value", 6).alias("value"))
+
+
+@register("M2_embed_tokens", f"""
+with t as (select item_id, {Q.byte_ids("array_to_string(" + Q.pretokens('text') + ", '')")} as l from benchmark),
+u as (select item_id, generate_subscripts(l, 1) - 1 as pos, unnest(l) as token_id from t)
+select item_id, pos::int as pos, token_id::int as token_id,
+       round(e.embedding[1]::double, 6) as v0, round(e.embedding[2]::double, 6) as v1,
+       round(e.embedding[64]::double, 6) as v63
+from u left join embeddings e on e.vec_id = u.token_id
+""")
+def m2_embed(spark, sf):
+    """Byte-level ids of the benchmark texts looked up in the embedding table."""
+    b = read_table(spark, sf, "benchmark")
+    toks = b.select("item_id", word_ids(F.array_join(pre_tokenize("text"), "")).alias("ids"))
+    table = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("token_id"), F.col("embedding").alias("vec"))
+    e = embed_tokens(toks, table, "ids", key="item_id")
+    v = lambda i: F.round(F.element_at("vec", i).cast("double"), 6)
+    return e.select("item_id", "pos", "token_id", v(1).alias("v0"), v(2).alias("v1"), v(64).alias("v63"))
+
+
+@register("M3_rotary", """
+with e as (select vec_id, list_transform(embedding, lambda x: x::double) as v, (vec_id % 32)::double as p from embeddings),
+x as (select vec_id, p, v, len(v) as n, generate_subscripts(v, 1) - 1 as d, unnest(v) as x from e)
+select vec_id, d::int as dim,
+  round(x * cos(p * pow(10000.0, -2.0 * (d % (n // 2)) / n))
+        + (case when d < n // 2 then -v[d + n // 2 + 1] else v[d - n // 2 + 1] end)
+          * sin(p * pow(10000.0, -2.0 * (d % (n // 2)) / n)), 6) as value
+from x
+""")
+def m3_rotary(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    return _per_dim(e, ["vec_id"], rotary("embedding", F.col("vec_id") % 32))
+
+
+@register("M4_rms_normalize", """
+with e as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings),
+s as (select vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x)) / len(v) + 1e-6) as r from e)
+select vec_id, (generate_subscripts(v, 1) - 1)::int as dim, round(unnest(v) / r, 6) as value from s
+""")
+def m4_rms(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    return _per_dim(e, ["vec_id"], rms_normalize("embedding"))
+
+
+@register("M5_softmax_array", """
+with e as (select vec_id, list_transform(embedding[1:10], lambda x: x::double) as v from embeddings),
+s as (select vec_id, list_transform(v, lambda x: exp(x - list_max(v))) as ex from e)
+select vec_id, (generate_subscripts(ex, 1) - 1)::int as dim, round(unnest(ex) / list_sum(ex), 6) as value from s
+""")
+def m5_softmax_array(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    return _per_dim(e, ["vec_id"], softmax(F.slice("embedding", 1, 10)))
+
+
+CONV_VECS_SQL = """select c.conv_id, c.turn, list_transform(e.embedding, lambda x: x::double) as v
+  from conversations c join embeddings e on e.vec_id = (c.conv_id * 31 + c.turn) % 500"""
+
+
+def _conv_vecs(spark, sf):
+    c = read_table(spark, sf, "conversations").select("conv_id", "turn",
+                                                      ((F.col("conv_id") * 31 + F.col("turn")) % 500).alias("k"))
+    e = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("v"))
+    return c.join(e, "k").select("conv_id", "turn", "v")
+
+
+@register("M5_softmax_over_turns", f"""
+with c as ({CONV_VECS_SQL}), s as (select conv_id, turn, v[1] as score from c),
+x as (select conv_id, turn, exp(score - max(score) over (partition by conv_id)) as ex from s)
+select conv_id, turn, round(ex / sum(ex) over (partition by conv_id), 6) as weight from x
+""")
+def m5_softmax_over(spark, sf):
+    c = _conv_vecs(spark, sf).select("conv_id", "turn", F.element_at("v", 1).cast("double").alias("score"))
+    w = softmax_over(c, ["conv_id"], "score")
+    return w.select("conv_id", "turn", F.round("weight", 6).alias("weight"))
+
+
+@register("M6_causal_history", f"""
+with c as ({CONV_VECS_SQL}),
+p as (select a.conv_id, a.turn, b.v as bv, list_dot_product(a.v, b.v) / sqrt(len(a.v)) as s
+      from c a join c b on a.conv_id = b.conv_id and b.turn <= a.turn),
+q as (select conv_id, turn, bv, exp(s - max(s) over w) as ew from p window w as (partition by conv_id, turn)),
+z as (select conv_id, turn, ew / sum(ew) over (partition by conv_id, turn) as wt, bv from q),
+u as (select conv_id, turn, wt, generate_subscripts(bv, 1) - 1 as d, unnest(bv) as x from z)
+select conv_id, turn, d::int as dim, round(sum(wt * x), 6) as value from u group by 1, 2, 3
+""")
+def m6_causal(spark, sf):
+    h = causal_history(_conv_vecs(spark, sf), "conv_id", "turn", "v")
+    return _per_dim(h, ["conv_id", "turn"], F.col("out"))
