@@ -132,3 +132,33 @@ def v6_extend(spark, sf):
     first = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + HALF)
     more = train_bpe(word_freq(read_table(spark, sf, "benchmark")), SMALL_VOCAB, base_model=first)
     return more.merges_df(spark)
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's (shared) checkpoint folder."""
+    import uuid
+    from tokenmill.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@register("S4_tokenizer_roundtrip_merges", f"with {_ctes}\nselect rank, \"left\", \"right\", new_id from {_m}")
+def s4_roundtrip(spark, sf):
+    """Save the small model (S3), load it back (S4): the merges survive."""
+    from tokenmill.sources.tokenizer_io import read_tokenizer_tables, write_tokenizer
+    path = _scratch(spark, "tokenizer")
+    write_tokenizer(spark, small_model(spark, sf), path, trained_on="documents")
+    _vocab, merges = read_tokenizer_tables(spark, path)
+    return merges.select(F.col("rank").cast("int").alias("rank"), "left", "right", "new_id")
+
+
+@register("S4_tokenizer_roundtrip_vocab", f"""with {_ctes}
+select (275 + count(*))::bigint as vocab_size, 19::bigint as n_special, (275 + count(*))::bigint as entries from {_m}""")
+def s4_roundtrip_vocab(spark, sf):
+    from tokenmill.sources.tokenizer_io import read_tokenizer_tables, write_tokenizer
+    path = _scratch(spark, "tokenizer")
+    write_tokenizer(spark, small_model(spark, sf), path, trained_on="documents")
+    vocab, _ = read_tokenizer_tables(spark, path)
+    return vocab.agg((F.max("id") + 1).cast("bigint").alias("vocab_size"),
+                     F.count_if(F.col("kind") == "special").cast("bigint").alias("n_special"),
+                     F.count(F.lit(1)).cast("bigint").alias("entries"))
