@@ -38,6 +38,8 @@ WS_CLASS = r"\x{09}-\x{0d} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 # S: what str.strip() removes: W plus U+001C..U+001F.
 STRIP_CLASS = WS_CLASS + r"\x{1c}-\x{1f}"
 CONTROL_CLASS = r"\x{00}-\x{1f}\x{7f}-\x{9f}"
+# control characters that are not whitespace (CONTROL_CLASS minus WS_CLASS)
+CONTROL_NOT_WS_CLASS = r"\x{00}-\x{08}\x{0e}-\x{1f}\x{7f}-\x{84}\x{86}-\x{9f}"
 
 # --- fixed values: pre-tokenizer patterns
 CONTRACTIONS = r"(?iu:'s|'t|'re|'ve|'m|'ll|'d)"

@@ -29,6 +29,9 @@ rounds so lineage stays short.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +42,15 @@ from tokenmill.functions.text import (
     END_MARK, MAX_SYMBOL_ID, SYM_BASE, sym, to_byte_symbols,
 )
 from tokenmill.operators.stats import symbol_pairs
-from tokenmill.session import cut_lineage
+from tokenmill.session import cut_lineage, session_conf
 
 END_ID = ord(END_MARK) - SYM_BASE   # -1: never a token id
+_DEBUG = bool(os.environ.get("TOKENMILL_DEBUG"))
+
+
+def _log(msg: str) -> None:
+    if _DEBUG:
+        print(f"[train {time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
 
 
 # ----------------------------------------------------------------------------- model
@@ -194,18 +203,37 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
         return train_stale_drop(work, model, vocab_size, checkpoint_every)
     if selection != "exact":
         raise ValueError(f"unknown selection {selection!r}")
+    # the word table is materialised first with the session's own settings
+    work = cut_lineage(work)
     return _train_exact(work, model, vocab_size, batch, checkpoint_every)
 
 
+def round_conf(spark: SparkSession) -> dict[str, str]:
+    """Settings for the many small round jobs: the pair tables are
+    aggregated on distinct words (no skew left after the partial
+    aggregation), so adaptive re-planning only adds latency per round;
+    partitions follow the cluster's parallelism instead."""
+    n = max(2, spark.sparkContext.defaultParallelism)
+    return {"spark.sql.adaptive.enabled": os.environ.get("TOKENMILL_ROUND_AQE", "false"), "spark.sql.shuffle.partitions": str(n)}
+
+
 def _train_exact(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit: int,
                  checkpoint_every: int) -> BpeModel:
+    with session_conf(work.sparkSession, round_conf(work.sparkSession)):
+        return _train_exact_rounds(work, model, vocab_size, batch_limit, checkpoint_every)
+
+
+def _train_exact_rounds(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit: int,
+                        checkpoint_every: int) -> BpeModel:
     spark = work.sparkSession
-    allw = cut_lineage(work)
+    allw = work
     total_tokens = allw.agg(F.coalesce(F.sum(F.col("n") * F.length("syms")), F.lit(0))).first()[0]
     work = allw.filter(F.length("syms") > 1)
     next_id = max([model.first_merge_id] + [n + 1 for _l, _r, n, _f, _t in model.merges]
                   + [i + 1 for i in model.extra_vocab])
+    _log("words checkpointed")
     top = [(r["l"], r["r"], r["f"]) for r in _top(pair_table(work), batch_limit).collect()]
+    _log("first top")
     merges = list(model.merges)
     rounds = 0
     keep: list[DataFrame] = []   # caches the current word table still depends on
@@ -240,7 +268,9 @@ def _train_exact(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit:
         res = parts[0]
         for p in parts[1:]:
             res = res.unionByName(p)
+        t0 = time.time()
         rows = res.collect()
+        _log(f"round {rounds} batch {k} collect {time.time() - t0:.2f}s")
         new_top = sorted(((r["l"], r["r"], r["f"]) for r in rows if r["tag"] == "top"),
                          key=lambda t: (-t[2], t[0], t[1]))
         occ = {r["l"]: r["f"] for r in rows if r["tag"] == "occ"}
@@ -273,8 +303,10 @@ def _train_exact(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit:
             top = [(r["l"], r["r"], r["f"]) for r in _top(folded, batch_limit).collect()]
         pt.unpersist()
         rounds += 1
+        _log(f"round {rounds - 1} done, cut {cut}/{k}")
         if rounds % checkpoint_every == 0:
             work = cut_lineage(work).persist()
+            _log("checkpoint")
             for d in keep:
                 d.unpersist()
             keep = [work]

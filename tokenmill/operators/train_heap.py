@@ -27,9 +27,14 @@ def _pairs(df: DataFrame, syms: str, weight) -> DataFrame:
 
 
 def train_stale_drop(work: DataFrame, model, vocab_size: int, checkpoint_every: int = 8):
+    from tokenmill.operators.train import round_conf
+    from tokenmill.session import session_conf
+    with session_conf(work.sparkSession, round_conf(work.sparkSession)):
+        return _rounds(cut_lineage(work), model, vocab_size, checkpoint_every)
+
+
+def _rounds(allw: DataFrame, model, vocab_size: int, checkpoint_every: int):
     from tokenmill.operators.train import BpeModel
-    spark = work.sparkSession
-    allw = cut_lineage(work)
     tokens = allw.agg(F.coalesce(F.sum(F.col("n") * F.length("syms")), F.lit(0))).first()[0]
     work = cut_lineage(allw.filter(F.length("syms") > 1))
     counts = cut_lineage(_pairs(work, "syms", F.col("n")).groupBy("l", "r").agg(F.sum("f").alias("f")))

@@ -69,3 +69,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and drop its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class session_conf:
+    """Temporarily set SQL confs (restored on exit)."""
+
+    def __init__(self, spark: SparkSession, conf: dict[str, str]):
+        self.spark, self.conf, self.old = spark, conf, {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
