@@ -16,9 +16,13 @@ from tokenmill.functions.text import pre_tokenize
 
 
 def stream_documents(spark: SparkSession, path: str, schema: str = "doc_id bigint, text string",
-                     fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Documents arriving as files under ``path``."""
+                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                     glob: str | None = None) -> DataFrame:
+    """Documents arriving as files in the folder ``path`` (optionally only
+    file names matching ``glob``)."""
     r = spark.readStream.format(fmt).schema(schema)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
