@@ -162,3 +162,43 @@ def s4_roundtrip_vocab(spark, sf):
     return vocab.agg((F.max("id") + 1).cast("bigint").alias("vocab_size"),
                      F.count_if(F.col("kind") == "special").cast("bigint").alias("n_special"),
                      F.count(F.lit(1)).cast("bigint").alias("entries"))
+
+
+STREAM_K = 4
+
+
+def _stream_sql(k: int) -> str:
+    """SQL-k for V5: documents as ``<id>`` strings, ties by first place seen."""
+    text = f"array_to_string({Q.pretokens(Q.clean('text'))}, '')"
+    ctes = [f"s0 as materialized (select doc_id, '<' || array_to_string({Q.byte_ids(text)}, '><') || '>' as s from documents)"]
+    sel = []
+    for i in range(k):
+        ctes.append(f"e{i} as materialized (select doc_id, string_split(s[2:-2], '><') as l from s{i})")
+        ctes.append(
+            f"p{i} as materialized (select a::int as a, b::int as b, count(*)::bigint as f, min(doc_id * 100000000 + pos) as first "
+            f"from (select doc_id, unnest(l[1:-2]) as a, unnest(l[2:]) as b, generate_subscripts(l[1:-2], 1) as pos "
+            f"from e{i} where len(l) > 1) group by 1, 2 having count(*) >= 2 order by f desc, first limit 1)")
+        ctes.append(f"s{i + 1} as materialized (select doc_id, replace(s, coalesce((select '<' || a || '><' || b || '>' "
+                    f"from p{i}), '<none>'), '<{FIRST_MERGE_ID + i}>') as s from s{i})")
+        sel.append(f"select {i} as rank, a as \"left\", b as \"right\", {FIRST_MERGE_ID + i} as new_id, f as freq, "
+                   f"(select sum(length(s) - length(replace(s, '<', '')))::bigint from s{i + 1}) as tokens_after from p{i}")
+    return "with " + ",\n".join(ctes) + "\n" + " union all ".join(sel)
+
+
+@register("V5_train_stream", _stream_sql(STREAM_K))
+def v5_train_stream(spark, sf):
+    """Flat-stream training (merges cross words), first-seen ties."""
+    from tokenmill.operators.train_stream import train_bpe_stream
+    m = train_bpe_stream(read_table(spark, sf, "documents"), FIRST_MERGE_ID + STREAM_K)
+    return m.merges_df(spark)
+
+
+@register("V7_train_lossless_split")
+def v7_train_lossless(spark, sf):
+    """Lossless-split words (T7, no cleaning), 25 specials, exact selection."""
+    from tokenmill.constants import SPECIAL_TOKENS_25
+    from tokenmill.functions.text import split_lossless
+    docs = read_table(spark, sf, "documents")
+    words = docs.select(F.explode(split_lossless("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    m = train_bpe(words, len(SPECIAL_TOKENS_25) + 256 + SQL_K, specials=list(SPECIAL_TOKENS_25))
+    return m.merges_df(spark)
