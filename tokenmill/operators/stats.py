@@ -37,7 +37,9 @@ def training_documents(docs: DataFrame, title_col: str | None = "title",
     characters (T2, T4): the documents the dataset trainer learns from."""
     title = F.col(title_col) if title_col and title_col in docs.columns else F.lit(None).cast("string")
     out = docs.select("doc_id", compose_document(title, F.col(text_col)).alias("text"))
-    out = out.filter(F.length(strip_ws(F.col("text"))) >= MIN_RAW_CHARS)
+    # both parts of a composed document are already stripped, so its
+    # stripped length is its length
+    out = out.filter(F.length(F.col("text")) >= MIN_RAW_CHARS)
     return out.filter(F.length(clean_text(F.col("text"))) >= MIN_CLEAN_CHARS)
 
 
