@@ -87,3 +87,41 @@ def test_model_vocab(spark):
     v = {r["id"]: (bytes(r["bytes"]), r["kind"]) for r in m.vocab_df(spark).collect()}
     assert v[275] == (b"ab", "merge") and v[0][1] == "special" and v[19] == (b"\x00", "byte")
     assert m.vocab_size == 276
+
+
+def test_stream_training_first_seen(spark):
+    from collections import Counter
+
+    from bruteforce import merge_word
+    from test_text import py_clean, py_pretok
+    from tokenmill.operators.train_stream import train_bpe_stream
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(["ab", "ba", "abc", "cab", "b a"]) for _ in range(rnd.randint(2, 9))) for _ in range(12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = train_bpe_stream(df, 275 + 6).merges
+    streams = [[19 + b for b in "".join(py_pretok(py_clean(t))).encode()] for t in texts]
+    want = []
+    for k in range(6):
+        c, first = Counter(), {}
+        for d, s in enumerate(streams):
+            for i in range(len(s) - 1):
+                p = (s[i], s[i + 1])
+                c[p] += 1
+                first.setdefault(p, (d, i))
+        if not c:
+            break
+        p, f = min(c.items(), key=lambda kv: (-kv[1], first[kv[0]]))
+        if f < 2:
+            break
+        streams = [list(merge_word(tuple(s), p[0], p[1], 275 + k)) for s in streams]
+        want.append((p[0], p[1], 275 + k, f, sum(len(s) for s in streams)))
+    assert got == want
+
+
+def test_lossless_flavour_offsets(spark):
+    from tokenmill.constants import SPECIAL_TOKENS_25
+    corpus = {"hello": 3, " world": 2, "help": 2}
+    m = train_bpe(words_df(spark, corpus), 25 + 256 + 4, specials=list(SPECIAL_TOKENS_25))
+    ids = {tuple(25 + b for b in w.encode()): n for w, n in corpus.items()}
+    want, _ = train_exact(ids, 4, first_id=281)
+    assert m.merges == want
