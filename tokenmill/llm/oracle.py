@@ -79,3 +79,31 @@ select page_id, host, path, rule, {verdicts} else case when pattern is not null
 
 QUALITY_RULES = quality_sql()
 URL_FILTERS = url_sql()
+
+LINE_WINDOWS = r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+l as (select doc_id, k, ls[k] as line, regexp_replace(ls[k], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as bare
+      from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as k from d)),
+f as (select *, row_number() over (partition by doc_id order by k) as i from l where bare <> ''),
+w as (select doc_id, i, bare || chr(10) || lead(bare) over s || chr(10) || lead(bare, 2) over s as win
+      from f window s as (partition by doc_id order by i)),
+later as (select doc_id, i from (select *, row_number() over (partition by win order by doc_id, i) as r
+          from w where win is not null) where r > 1),
+gone as (select distinct doc_id, i + j as i from later, range(3) t(j)),
+runs as (select doc_id, count(*) as n_spans from (select doc_id, i, lag(i) over (partition by doc_id order by i) as p
+         from gone) where p is null or p < i - 1 group by doc_id),
+m as (select l.doc_id, l.k, l.line, f.i is not null as full_line, g.i is not null as drop_line
+      from l left join f using (doc_id, k) left join gone g on g.doc_id = f.doc_id and g.i = f.i)
+select doc_id, count(*) filter (full_line) as n_lines, count(*) filter (drop_line) as n_removed,
+       coalesce(any_value(n_spans), 0) as n_spans,
+       sha256(coalesce(string_agg(line, chr(10) order by k) filter (not drop_line), '')) as clean_sha256
+from m left join runs using (doc_id) group by doc_id"""
+
+EXACT_TOPK = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+           where embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+      from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20"""

@@ -43,3 +43,45 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tokenmill.llm.url_rules import judge_urls
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+@register("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.license_scan import scan_licenses
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("op3_bbit_minhash")
+def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.bbit_minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.token_counts import section_token_counts
+    return section_token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+
+
+@register("op6_line_windows", oracle.LINE_WINDOWS)
+def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.line_windows import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "n_spans", F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
+@register("op7_exact_topk", oracle.EXACT_TOPK)
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.exact_topk import integer_vectors, top_k
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+@register("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.suffix_dedup import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents"), keep="none")
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["t"] - x["f"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
