@@ -27,6 +27,8 @@ an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -100,7 +102,6 @@ def grams(words: Column, cues: Column) -> Column:
 
 
 def _words(text: str) -> list[str]:
-    import re
     return [w for w in (x.strip(".+-") for x in re.split(WORD, text.lower())) if w]
 
 
@@ -140,21 +141,18 @@ class LicenseModel:
     least: float = 0.5
 
 
-def _logits(features: Column, model: LicenseModel) -> Column:
-    """Scores of the families: the bias and the weights of the grams that are there."""
-    table = F.map_from_arrays(F.lit(model.vocabulary), F.array(*[F.lit(w) for w in model.weights]))
-    known = F.filter(F.transform(features, lambda g: F.try_element_at(table, g)), lambda w: w.isNotNull())
-    total = F.aggregate(known, F.lit(list(model.bias)), lambda s, w: F.zip_with(s, w, lambda a, b: a + b))
-    return total
+def scores(df: DataFrame, features: str, model: LicenseModel) -> DataFrame:
+    """Adds ``z``, one score per family: the bias and the weights of the grams that
+    are there. The scores are generated, so what follows reads them as a value."""
+    table = F.from_json(F.lit(json.dumps(dict(zip(model.vocabulary, model.weights)))), "map<string,array<double>>")
+    known = F.filter(F.transform(F.col(features), lambda g: F.try_element_at(table, g)), lambda w: w.isNotNull())
+    total = F.aggregate(known, F.lit(list(model.bias)), lambda s, w: F.zip_with(s, w, lambda x, y: x + y))
+    return df.select("*", F.explode(F.array(total)).alias("z"))
 
 
-def family_probabilities(features: Column, model: LicenseModel, temperature: float | None = None) -> Column:
-    """Softmax of the scores, an array in the order of ``model.families``."""
-    t = F.lit(float(temperature or model.temperature))
-    z = F.transform(_logits(features, model), lambda x: x / t)
-    high = F.array_max(z)
-    e = F.transform(z, lambda x: F.exp(x - high))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+def probability(of: Column, temperature: float) -> Column:
+    """Softmax of the score ``of`` among the scores ``z``."""
+    return F.lit(1.0) / F.aggregate("z", F.lit(0.0), lambda s, x: s + F.exp((x - of) / F.lit(float(temperature))))
 
 
 def fit_license_model(spark: SparkSession) -> LicenseModel:
@@ -166,21 +164,22 @@ def fit_license_model(spark: SparkSession) -> LicenseModel:
     data = data.select("label", "held", paragraph_words(F.col("text")).alias("w")).select(
         "label", "held", grams(F.col("w"), cues).alias("grams")).persist()
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0).fit(data.filter("not held"))
-    fitted = LogisticRegression(maxIter=200, regParam=0.001, elasticNetParam=1.0, family="multinomial",
+    fitted = LogisticRegression(maxIter=80, regParam=0.001, elasticNetParam=1.0, family="multinomial",
                                 standardization=False).fit(vectors.transform(data.filter("not held")))
     matrix, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     used = [(g, matrix[:, i].tolist()) for i, g in enumerate(vectors.vocabulary) if abs(matrix[:, i]).max() > 0]
     model = LicenseModel(families, [g for g, _ in used], [w for _, w in used], bias.tolist())
     if bias.argmax() != 0:
         raise RuntimeError("a paragraph without features must be unknown")
-    held = data.filter("held")
+    held = scores(data.filter("held"), "grams", model).persist()
     grid = [0.5, 0.75, 1.0, 1.5, 2.0, 3.0]
-    right = lambda p: F.element_at(p, F.col("label").cast("int") + 1)
-    loss = held.agg(*[F.avg(-F.log(right(family_probabilities(F.col("grams"), model, t)) + 1e-12)) for t in grid]).first()
+    right = F.element_at("z", F.col("label").cast("int") + 1)
+    loss = held.agg(*[F.avg(-F.log(probability(right, t) + 1e-12)) for t in grid]).first()
     model.temperature = grid[min(range(len(grid)), key=lambda i: loss[i])]
-    p = family_probabilities(F.col("grams"), model)
-    worst = held.filter("label = 0").agg(F.max(F.array_max(F.slice(p, 2, len(families) - 1)))).first()[0]
+    named = F.array_max(F.slice("z", 2, len(families) - 1))
+    worst = held.filter("label = 0").agg(F.max(probability(named, model.temperature))).first()[0]
     model.least = min(0.95, max(0.5, float(worst or 0.0) + 0.01))
+    held.unpersist()
     data.unpersist()
     return model
 
@@ -213,11 +212,11 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     lines = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                         F.posexplode(F.split(F.col(text_col), "\n")).alias("paragraph", "text"))
     words = lines.select("*", paragraph_words(F.col("text")).alias("w")).filter(F.arrays_overlap("w", cues))
-    scored = words.select("*", family_probabilities(grams(F.col("w"), cues), model).alias("p"))
-    best = F.array_position("p", F.array_max("p")).cast("int")
+    scored = scores(words.select("*", grams(F.col("w"), cues).alias("grams")), "grams", model)
+    best = F.array_position("z", F.array_max("z")).cast("int")
     named = scored.select("doc_id", F.col("paragraph").cast("bigint").alias("paragraph"), "text", "w",
                           F.element_at(F.lit(model.families), best).alias("family"),
-                          F.round(F.array_max("p"), 6).alias("probability"))
+                          F.round(probability(F.array_max("z"), model.temperature), 6).alias("probability"))
     named = named.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least))
     return named.select("doc_id", "paragraph", "text", "family", "probability",
                         F.round(template_similarity(F.col("w"), F.col("family")), 6).alias("similarity")) \
