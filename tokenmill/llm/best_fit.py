@@ -24,38 +24,83 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tokenmill.functions.text import byte_to_printable_map
 from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_bytes
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000       # per worker
+CACHE_WORDS = 1_000_000     # per worker and cache
 
 
 # ------------------------------------------------------------------ 1: token ids and pieces
 
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PRINTABLE = {b: ord(c) for b, c in byte_to_printable_map().items()}
+
+
 class WordIds(dict):
     """Word -> its ids as little-endian 32-bit integers. White space parts
-    words in this tokenizer and is dropped, so words encode one by one."""
+    words in this tokenizer and is dropped, so words encode one by one. It
+    lower-cases, and marks after letters are tokens of their own, so most new
+    words are a lower-case core of letters, which goes straight to the merge
+    model, and a tail of marks; all others take the whole tokenizer."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.cores: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> bytes:
+        self.new.append(word)
+        return b""
+
+    def ids(self, words: list[bytes]) -> bytes:
+        """Ids of all words in order."""
+        out = b"".join(map(self.__getitem__, words))
+        if self.new:
+            if len(self) > CACHE_WORDS:
+                self.clear()
+                self.new = words
+            for w in self.new:
+                if w not in self:
+                    self[w] = self._encode(w)
+            self.new = []
+            out = b"".join(map(self.__getitem__, words))
+        return out
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = [w for w in set(words) if w not in self]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+    def _encode(self, word: bytes) -> bytes:
+        s = word.decode()
+        core = s.rstrip(_MARKS)
+        if core.isalpha() and core[-1] < "\u3000" and is_normalized("NFC", core):
+            low = core.lower()
+            # the letters whose lower case depends on more than the letter take the other way
+            if "\u03a3" not in core and "\u0130" not in core:
+                got = self.cores.get(low)
+                if got is None:
+                    if len(self.cores) > CACHE_WORDS:
+                        self.cores.clear()
+                    text = low.encode().decode("latin-1").translate(_PRINTABLE)
+                    got = self.cores[low] = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+                return got + self._other(s[len(core):]) if len(core) < len(s) else got
+        return self._other(s)
+
+    def _other(self, s: str) -> bytes:
+        got = self.others.get(s)
+        if got is None:
+            if len(self.others) > CACHE_WORDS:
+                self.others.clear()
+            got = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+            self.others[s] = got
+        return got
 
 
 _tokenizers: dict[int, WordIds] = {}
@@ -87,13 +132,7 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
         table = _word_ids(bc)
         out = defaultdict(list)
         for doc, text in zip(b.column(0).to_pylist(), texts_as_bytes(b.column(1))):
-            words = text.split()
-            try:
-                ids = b"".join(map(table.__getitem__, words))
-            except KeyError:
-                table.learn(words)
-                ids = b"".join(map(table.__getitem__, words))
-            ids += end
+            ids = table.ids(text.split()) + end
             for piece, at in enumerate(range(0, len(ids), step)):
                 part = ids[at:at + step]
                 out["doc_id"].append(doc)
