@@ -37,6 +37,9 @@ PRINTABLE_BYTE_RANGES = [(0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)]
 WS_CLASS = r"\x{09}-\x{0d} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # S: what str.strip() removes: W plus U+001C..U+001F.
 STRIP_CLASS = WS_CLASS + r"\x{1c}-\x{1f}"
+# the characters of S themselves
+STRIP_CHARS = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+               + "\u2028\u2029\u202f\u205f\u3000" + "\x1c\x1d\x1e\x1f")
 CONTROL_CLASS = r"\x{00}-\x{1f}\x{7f}-\x{9f}"
 # control characters that are not whitespace (CONTROL_CLASS minus WS_CLASS)
 CONTROL_NOT_WS_CLASS = r"\x{00}-\x{08}\x{0e}-\x{1f}\x{7f}-\x{84}\x{86}-\x{9f}"

@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 
 from tokenmill.constants import (
     BYTE_OFFSET, CONTROL_CLASS, CONTROL_NOT_WS_CLASS, LOSSLESS_PATTERN, PRETOKEN_PATTERN,
-    PRINTABLE_BYTE_RANGES, STRIP_CLASS, WS_CLASS,
+    PRINTABLE_BYTE_RANGES, STRIP_CHARS, STRIP_CLASS, WS_CLASS,
 )
 
-# Token id i is stored inside Spark strings as the code point SYM_BASE + i.
-# All such code points are in the Basic Multilingual Plane, so Java regex
-# steps over them one character at a time; ids up to MAX_SYMBOL_ID fit
-# below the surrogate block.
-SYM_BASE = 0x1000
-MAX_SYMBOL_ID = 0xD7FF - SYM_BASE
+# Token id i is stored inside Spark strings as the code point SYM_BASE + i, one
+# supplementary character per id (Spark's string functions and Java's regular
+# expressions step over code points). The layout ends with Unicode itself,
+# above a million ids.
+SYM_BASE = 0x10000
+MAX_SYMBOL_ID = 0x10FFFF - SYM_BASE
 # Marks the end of a word when pairs are listed (below SYM_BASE, never an id).
-END_MARK = "\u0fff"
+END_MARK = "\uffff"
 
 
 def col_of(c) -> Column:
@@ -66,7 +66,7 @@ _PRINTABLE256 = "".join(byte_to_printable_map()[b] for b in range(256))
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: drop leading/trailing Unicode whitespace and U+001C..U+001F."""
-    return F.regexp_replace(col_of(c), F.lit(f"^[{STRIP_CLASS}]+|[{STRIP_CLASS}]+$"), F.lit(""))
+    return F.btrim(col_of(c), F.lit(STRIP_CHARS))
 
 
 def compose_document(title, text) -> Column:
@@ -82,8 +82,10 @@ def compose_document(title, text) -> Column:
 # character each become one space. Controls therefore never merge with
 # neighbouring spaces ("a \0 b" keeps three), exactly as when they are
 # blanked after the collapse. Every strip character is a space afterwards,
-# so the final strip is a plain trim.
-CLEAN_PATTERN = (f"[{STRIP_CLASS}]*[\r\n][{STRIP_CLASS}]*|[{WS_CLASS}]+|[{CONTROL_NOT_WS_CLASS}]")
+# so the final strip is a plain trim. A run is looked at once, from its start
+# (the look-behind), so the pass is linear also in long runs.
+CLEAN_PATTERN = (f"(?<![{STRIP_CLASS}])(?=[{STRIP_CLASS}]*[\r\n])[{STRIP_CLASS}]+|[{WS_CLASS}]+"
+                 f"|[{CONTROL_NOT_WS_CLASS}]")
 
 
 def clean_text(c) -> Column:
@@ -149,8 +151,10 @@ def bytes_to_printable(b) -> Column:
 
 
 def printable_to_bytes(s) -> Column:
-    """Inverse of :func:`bytes_to_printable` for strings made of the 256 printable characters."""
-    return F.encode(F.translate(col_of(s), _PRINTABLE256, _LATIN256), "ISO-8859-1")
+    """Inverse of :func:`bytes_to_printable` for strings made of the 256 printable characters.
+    (``translate`` deletes what maps to U+0000, so byte 0 is put in by itself.)"""
+    rest = F.translate(col_of(s), _PRINTABLE256[1:], _LATIN256[1:])
+    return F.encode(F.replace(rest, F.lit(_PRINTABLE256[0]), F.lit("\0")), "ISO-8859-1")
 
 
 def is_printable_form(s) -> Column:
@@ -163,14 +167,31 @@ def utf8_lenient(b) -> Column:
     return F.make_valid_utf8(col_of(b).cast("string"))
 
 
+# Characters that Python's repr() writes as escapes, by Java's character
+# categories: separators other than the space, and Other (control, format,
+# surrogate, private use, unassigned).
+_NOT_PRINTABLE = r"[\p{Z}\p{C}&&[^ ]]"
+
+
 def token_repr(b) -> Column:
-    """Display form of token bytes: lenient UTF-8 with backslash escapes."""
+    """Display form of token bytes, Python's ``repr`` of the lenient UTF-8
+    text without its quotes: backslash, newline, return and tab as two-character
+    escapes, other non-printable characters as ``\\x..``, ``\\u....`` or
+    ``\\U........``, and the single quote escaped if both quotes occur."""
     s = utf8_lenient(b)
-    s = F.regexp_replace(s, F.lit(r"\\"), F.lit(r"\\\\"))
-    s = F.regexp_replace(s, F.lit("\n"), F.lit(r"\\n"))
-    s = F.regexp_replace(s, F.lit("\r"), F.lit(r"\\r"))
-    s = F.regexp_replace(s, F.lit("\t"), F.lit(r"\\t"))
-    return s
+    both = F.contains(s, F.lit("'")) & F.contains(s, F.lit('"'))
+
+    def escape(ch):
+        code = F.ascii(ch)
+        hexed = F.lower(F.hex(code))
+        return (F.when(ch == "\\", F.lit("\\\\")).when(ch == "\n", F.lit("\\n")).when(ch == "\r", F.lit("\\r"))
+                .when(ch == "\t", F.lit("\\t")).when((ch == "'") & both, F.lit("\\'"))
+                .when(~ch.rlike(_NOT_PRINTABLE), ch)
+                .when(code < 0x100, F.concat(F.lit("\\x"), F.lpad(hexed, 2, "0")))
+                .when(code < 0x10000, F.concat(F.lit("\\u"), F.lpad(hexed, 4, "0")))
+                .otherwise(F.concat(F.lit("\\U"), F.lpad(hexed, 8, "0"))))
+
+    return F.array_join(F.transform(F.regexp_extract_all(s, F.lit("(?s)(.)"), F.lit(1)), escape), "")
 
 
 def pair_repr(left_bytes, right_bytes) -> Column:
