@@ -34,26 +34,24 @@ def filter_min_clean(df: DataFrame, col: str = "text", n: int = MIN_CLEAN_CHARS)
 def training_documents(docs: DataFrame, title_col: str | None = "title",
                        text_col: str = "text") -> DataFrame:
     """Compose (T1) and keep documents of >= 100 raw and >= 50 clean
-    characters (T2, T4): the documents the dataset trainer learns from."""
+    characters (T2, T4), the documents the dataset trainer learns from:
+    ``(doc_id, text, clean)``; the cleaned text is computed once."""
     title = F.col(title_col) if title_col and title_col in docs.columns else F.lit(None).cast("string")
     out = docs.select("doc_id", compose_document(title, F.col(text_col)).alias("text"))
-    # both parts of a composed document are already stripped, so its
-    # stripped length is its length
-    out = out.filter(F.length(F.col("text")) >= MIN_RAW_CHARS)
-    return out.filter(F.length(clean_text(F.col("text"))) >= MIN_CLEAN_CHARS)
+    # both parts of a composed document are already stripped, so its stripped
+    # length is its length; short rows get no cleaned text and go with the
+    # filter on it, which stays above the projection that cleans once
+    long_enough = F.when(F.length("text") >= MIN_RAW_CHARS, clean_text(F.col("text")))
+    out = out.select("doc_id", "text", F.explode(F.array(long_enough)).alias("clean"))
+    return out.filter(F.length("clean") >= MIN_CLEAN_CHARS)
 
 
 # ----------------------------------------------------------------------------- A1
 
-def document_words(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Pre-tokens with their position: ``(doc_id, pos INT, word STRING)``."""
-    return docs.select(F.col(id_col).alias("doc_id"),
-                       F.posexplode(pre_tokenize(F.col(text_col))).alias("pos", "word"))
-
-
-def word_freq(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """A1: ``(word, n)`` over all pre-tokens of all documents."""
-    words = docs.select(F.explode(pre_tokenize(F.col(text_col))).alias("word"))
+def word_freq(docs: DataFrame, text_col: str = "text", clean: bool = True) -> DataFrame:
+    """A1: ``(word, n)`` over all pre-tokens of all documents (``clean=False``:
+    the text is cleaned already)."""
+    words = docs.select(F.explode(pre_tokenize(F.col(text_col), clean)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -65,8 +63,10 @@ def top_words(freq: DataFrame, k: int) -> DataFrame:
 # ----------------------------------------------------------------------------- A3 / A4
 
 def symbol_pairs(syms) -> Column:
-    """All overlapping adjacent symbol pairs of a symbol string, as 2-char strings."""
-    return F.regexp_extract_all(col_of(syms), F.lit("(?s)(?=(..))"), F.lit(1))
+    """All overlapping adjacent symbol pairs of a symbol string, as 2-char strings.
+
+    A symbol is two UTF-16 units; a look-ahead match must not begin at the second."""
+    return F.regexp_extract_all(col_of(syms), F.lit("(?s)(?![\\x{dc00}-\\x{dfff}])(?=(..))"), F.lit(1))
 
 
 def split_pair(pair_col: str = "pair") -> list[Column]:
@@ -88,17 +88,36 @@ def pair_freq(words: DataFrame, word_col: str = "word", n_col: str = "n") -> Dat
     return agg.select(*split_pair("pair"), "freq")
 
 
-def stream_pair_freq(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def first_seen_counts(pairs: DataFrame, by: list[str], doc: str = "doc_id", pos: str = "pos") -> DataFrame:
+    """``(*by, freq, first_doc, first_pos)``. Counted per document first, with
+    primitive aggregates that combine in hash maps; the least place is then
+    taken over the much smaller table of keys per document."""
+    per_doc = pairs.groupBy(*by, doc).agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("p"))
+    agg = per_doc.groupBy(*by).agg(F.sum("n").alias("freq"), F.min(F.struct(F.col(doc).alias("d"), F.col("p"))).alias("first"))
+    return agg.select(*by, "freq", F.col("first.d").alias("first_doc"), F.col("first.p").alias("first_pos"))
+
+
+def stream_pair_freq(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                     cross_docs: bool = False) -> DataFrame:
     """A4: byte-pair counts over each document's flat byte stream (pairs
     cross word boundaries, spaces included) with the first place a pair
-    was seen: ``(left, right, freq, first_doc, first_pos)``."""
+    was seen: ``(left, right, freq, first_doc, first_pos)``.
+
+    With ``cross_docs`` the documents, in id order, form one stream: the last
+    symbol of a document also pairs with the first of the next that has any
+    (place: the last position of the document before).
+    """
     stream = docs.select(F.col(id_col).alias("doc_id"),
                          to_byte_symbols(F.array_join(pre_tokenize(F.col(text_col)), "")).alias("s"))
     p = stream.select("doc_id", F.posexplode(symbol_pairs(F.col("s"))).alias("pos", "pair"))
-    agg = p.groupBy("pair").agg(F.count(F.lit(1)).alias("freq"),
-                                F.min(F.struct("doc_id", "pos")).alias("first"))
-    return agg.select(*split_pair("pair"), "freq",
-                      F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"))
+    if cross_docs:
+        ends = stream.filter(F.length("s") > 0).select(
+            "doc_id", F.substring("s", 1, 1).alias("head"), F.substring("s", -1, 1).alias("tail"),
+            (F.length("s") - 1).alias("pos"), F.lit(1).cast("bigint").alias("one"))
+        ends = running_totals(ends, [], "doc_id", ["one"])
+        after = ends.select((F.col("one_run") - 1).alias("one_run"), F.col("head").alias("next"))
+        p = p.unionByName(ends.join(after, "one_run").select("doc_id", "pos", F.concat("tail", "next").alias("pair")))
+    return first_seen_counts(p, ["pair"]).select(*split_pair("pair"), "freq", "first_doc", "first_pos")
 
 
 # ----------------------------------------------------------------------------- A5
@@ -120,15 +139,15 @@ def top_pairs(pairs: DataFrame, k: int = 1, min_freq: int = 2, tie: str = "small
 
 def corpus_stats(docs: DataFrame, kept: DataFrame, freq: DataFrame, pairs: DataFrame) -> DataFrame:
     """A2: one row: articles read, articles kept, distinct words, total
-    pre-tokens, distinct pairs. Each figure is its own scalar aggregate."""
+    pre-tokens, distinct pairs. Words and tokens come from one aggregate."""
     spark = docs.sparkSession
+    words = freq.agg(F.struct(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum("n"), F.lit(0)).alias("t")).alias("w")).scalar()
     return spark.range(1).select(
         docs.agg(F.count(F.lit(1))).scalar().alias("articles_read"),
         kept.agg(F.count(F.lit(1))).scalar().alias("articles_kept"),
-        freq.agg(F.count(F.lit(1))).scalar().alias("distinct_words"),
-        freq.agg(F.sum("n")).scalar().cast("bigint").alias("total_tokens"),
-        pairs.agg(F.count(F.lit(1))).scalar().alias("distinct_pairs"),
-    )
+        pairs.agg(F.count(F.lit(1))).scalar().alias("distinct_pairs"), words.alias("w"),
+    ).select("articles_read", "articles_kept", F.col("w.d").alias("distinct_words"),
+             F.col("w.t").cast("bigint").alias("total_tokens"), "distinct_pairs")
 
 
 # ----------------------------------------------------------------------------- A6 / A7

@@ -2,9 +2,9 @@
 
 State: a cached DataFrame of distinct words as symbol strings
 ``(syms STRING, n BIGINT)`` (one character per token id, see
-``functions.text.sym``). The driver only ever sees small aggregates: the
-top pairs of a round, a few check numbers and the merges themselves (at
-most ``vocab_size`` rows).
+``functions.text.sym``) and a cached table of pair counts. The driver only
+ever sees small aggregates: the top pairs of a round, a few check numbers and
+the merges themselves (at most ``vocab_size`` rows).
 
 Exact selection (the default) merges several pairs per round when that
 provably gives the same result as one-at-a-time merging:
@@ -12,26 +12,22 @@ provably gives the same result as one-at-a-time merging:
 * candidates are the best ``batch`` pairs (freq desc, then smaller
   ``(left, right)``), cut to the longest prefix whose pairs share no symbol,
   so merging one leaves the counts of the others unchanged;
-* the prefix is applied to every word and all pairs of the result are
-  counted once (``pair_table``), with an end-of-word mark so the count of
-  every symbol is known too;
-* from that one aggregate: for each step ``i`` of the batch the pairs that
-  contain a symbol made at steps ``<= i`` are re-counted as they were right
-  after step ``i`` (later merged symbols folded back to their parts); if
-  such a pair reaches the frequency of step ``i + 1`` the batch is cut
-  after ``i``. The same aggregate gives the next round's candidates, or,
-  after a cut, the aggregate folded back to the cut.
-
-One Spark job per round when the batch holds, two when it is cut; the
-word table is checkpointed to the reliable checkpoint folder every few
-rounds so lineage stays short.
+* only the words that contain a pair of the prefix are looked at: their pairs
+  before and after (with an end-of-word mark, so the count of every symbol is
+  known too) give the change of every pair count, which is added to the table;
+* pairs with a symbol of this round occur in those words only. For each step
+  ``i`` of the batch they are re-counted as they were right after step ``i``
+  (later merged symbols folded back to their parts); if such a pair reaches
+  the frequency of step ``i + 1`` the batch is cut after ``i`` and the change
+  taken again for the shorter prefix.
+
+One Spark job per round when the batch holds, two when it is cut; both tables
+are checkpointed to the reliable checkpoint folder every few rounds so lineage
+stays short.
 """
 
 from __future__ import annotations
 
-import os
-import sys
-import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +41,6 @@ from tokenmill.operators.stats import symbol_pairs
 from tokenmill.session import cut_lineage, session_conf
 
 END_ID = ord(END_MARK) - SYM_BASE   # -1: never a token id
-_DEBUG = bool(os.environ.get("TOKENMILL_DEBUG"))
-
-
-def _log(msg: str) -> None:
-    if _DEBUG:
-        print(f"[train {time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
-
 
 # ----------------------------------------------------------------------------- model
 
@@ -115,14 +104,15 @@ def base_vocab(spark: SparkSession, specials: list[str] | None = None) -> DataFr
 # ----------------------------------------------------------------------------- building blocks
 
 def words_to_symbols(words: DataFrame, word_col: str = "word", n_col: str = "n",
-                     byte_offset: int = len(SPECIAL_TOKENS_19)) -> DataFrame:
-    """``(syms, n)`` of the words, one byte symbol per UTF-8 byte."""
+                     byte_offset: int = len(SPECIAL_TOKENS_19), keep_word: bool = False) -> DataFrame:
+    """``([word,] syms, n)`` of the words, one byte symbol per UTF-8 byte."""
     syms = to_byte_symbols(F.col(word_col))
     if byte_offset != len(SPECIAL_TOKENS_19):
         from tokenmill.functions.text import _LATIN256
         table = "".join(sym(byte_offset + b) for b in range(256))
         syms = F.translate(F.decode(F.encode(F.col(word_col), "UTF-8"), "ISO-8859-1"), _LATIN256, table)
-    return words.select(syms.alias("syms"), F.col(n_col).cast("bigint").alias("n"))
+    word = [F.col(word_col).alias("word")] if keep_word else []
+    return words.select(*word, syms.alias("syms"), F.col(n_col).cast("bigint").alias("n"))
 
 
 def apply_merges(syms: Column, merges: list[tuple[int, int, int]]) -> Column:
@@ -132,13 +122,35 @@ def apply_merges(syms: Column, merges: list[tuple[int, int, int]]) -> Column:
     return syms
 
 
+def _end_pairs(df: DataFrame, syms: str, weight: Column) -> DataFrame:
+    """Adjacent pairs of every word and ``(last, END)``, one weighted row each."""
+    return df.select(F.explode(symbol_pairs(F.concat(F.col(syms), F.lit(END_MARK)))).alias("pair"), weight.alias("f"))
+
+
+def _by_id(pairs: DataFrame) -> DataFrame:
+    """Summed pair rows as ``(l INT, r INT, f BIGINT)``."""
+    return pairs.groupBy("pair").agg(F.sum("f").alias("f")).select(
+        (F.ascii(F.substring("pair", 1, 1)) - F.lit(SYM_BASE)).alias("l"),
+        (F.ascii(F.substring("pair", 2, 1)) - F.lit(SYM_BASE)).alias("r"), "f")
+
+
 def pair_table(work: DataFrame) -> DataFrame:
-    """All adjacent pairs of all words (plus ``(last, END)`` per word),
-    weighted: ``(l INT, r INT, f BIGINT)``."""
-    p = work.select(F.explode(symbol_pairs(F.concat(F.col("syms"), F.lit(END_MARK)))).alias("pair"), "n")
-    agg = p.groupBy("pair").agg(F.sum("n").alias("f"))
-    return agg.select((F.ascii(F.substring("pair", 1, 1)) - F.lit(SYM_BASE)).alias("l"),
-                      (F.ascii(F.substring("pair", 2, 1)) - F.lit(SYM_BASE)).alias("r"), "f")
+    """All adjacent pairs of all words (plus ``(last, END)`` per word), weighted."""
+    return _by_id(_end_pairs(work, "syms", F.col("n")))
+
+
+def pair_change(work: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """How the merges change the pair counts: ``(l, r, f)``, from the words that hold one of them."""
+    hit = F.lit(False)
+    for a, b, _n in merges:
+        hit = hit | F.contains(F.col("syms"), F.lit(sym(a) + sym(b)))
+    changed = work.filter(hit).select("n", "syms", apply_merges(F.col("syms"), merges).alias("after"))
+    return _by_id(_end_pairs(changed, "syms", -F.col("n")).unionByName(_end_pairs(changed, "after", F.col("n")))) \
+        .filter("f != 0")
+
+
+def add_change(counts: DataFrame, change: DataFrame) -> DataFrame:
+    return counts.unionByName(change).groupBy("l", "r").agg(F.sum("f").alias("f")).filter("f > 0")
 
 
 def _top(pt: DataFrame, k: int) -> DataFrame:
@@ -150,19 +162,6 @@ def _arr(values: list[int]) -> Column:
     return F.array(*[F.lit(int(v)) for v in values])
 
 
-def _fold(pt: DataFrame, batch: list[tuple[int, int, int]], i: Column | int) -> DataFrame:
-    """Pair table as it was right after step ``i`` of ``batch`` (1-based):
-    symbols made at steps ``> i`` go back to their parts. END rows kept."""
-    n1 = batch[0][2]
-    a_arr, b_arr = _arr([a for a, _, _ in batch]), _arr([b for _, b, _ in batch])
-    i = F.lit(i) if isinstance(i, int) else i
-    jl = F.col("l") - F.lit(n1) + 1
-    jr = F.col("r") - F.lit(n1) + 1
-    lf = F.when((jl > i) & (jl <= len(batch)), F.element_at(b_arr, jl)).otherwise(F.col("l"))
-    rf = F.when((jr > i) & (jr <= len(batch)), F.element_at(a_arr, jr)).otherwise(F.col("r"))
-    return pt.select(lf.alias("l"), rf.alias("r"), "f")
-
-
 def _choose_batch(top: list[tuple[int, int, int]], next_id: int, room: int,
                   batch_limit: int) -> list[tuple[int, int, int, int]]:
     """Longest prefix of the candidates whose pairs share no symbol."""
@@ -194,10 +193,11 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
     model = base_model or BpeModel(specials=list(specials or SPECIAL_TOKENS_19))
     if vocab_size - 1 > MAX_SYMBOL_ID:
         raise ValueError(f"vocab_size {vocab_size} above the supported {MAX_SYMBOL_ID + 1}")
-    work = words_to_symbols(words, word_col, n_col, model.byte_offset)
     if model.merges:
-        work = work.select(apply_merges(F.col("syms"), [(l, r, n) for l, r, n, _f, _t in model.merges])
-                           .alias("syms"), "n")
+        from tokenmill.operators.codec import word_symbols
+        work = word_symbols(words, model, word_col, n_col)
+    else:
+        work = words_to_symbols(words, word_col, n_col, model.byte_offset)
     if selection == "stale_drop":
         from tokenmill.operators.train_heap import train_stale_drop
         return train_stale_drop(work, model, vocab_size, checkpoint_every)
@@ -214,7 +214,7 @@ def round_conf(spark: SparkSession) -> dict[str, str]:
     aggregation), so adaptive re-planning only adds latency per round;
     partitions follow the cluster's parallelism instead."""
     n = max(2, spark.sparkContext.defaultParallelism)
-    return {"spark.sql.adaptive.enabled": os.environ.get("TOKENMILL_ROUND_AQE", "false"), "spark.sql.shuffle.partitions": str(n)}
+    return {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(n)}
 
 
 def _train_exact(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit: int,
@@ -223,93 +223,75 @@ def _train_exact(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit:
         return _train_exact_rounds(work, model, vocab_size, batch_limit, checkpoint_every)
 
 
+def _check_rows(change: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
+    """For every step but the last: the largest count, right after the step, of
+    a pair with a symbol made by then (rows ``tag, l = step, r, f``)."""
+    k, n1, nk = len(batch), batch[0][2], batch[-1][2]
+    x = change.filter(F.col("l").between(n1, nk) | F.col("r").between(n1, nk))
+    x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("i"))
+    jl, jr = F.col("l") - F.lit(n1) + 1, F.col("r") - F.lit(n1) + 1
+    lefts, rights = _arr([a for a, _, _ in batch]), _arr([b for _, b, _ in batch])
+    # symbols made after step i go back to the part that touches the other symbol
+    lf = F.when((jl > F.col("i")) & (jl <= k), F.element_at(rights, jl)).otherwise(F.col("l"))
+    rf = F.when((jr > F.col("i")) & (jr <= k), F.element_at(lefts, jr)).otherwise(F.col("r"))
+    made = F.lit(n1) + F.col("i") - 1
+    x = x.select("i", lf.alias("lf"), rf.alias("rf"), "f").filter(
+        (F.col("rf") != END_ID) & (F.col("lf").between(F.lit(n1), made) | F.col("rf").between(F.lit(n1), made)))
+    return (x.groupBy("i", "lf", "rf").agg(F.sum("f").alias("f")).groupBy("i").agg(F.max("f").alias("f"))
+            .select(F.lit("chk").alias("tag"), F.col("i").alias("l"), F.lit(0).alias("r"), "f"))
+
+
 def _train_exact_rounds(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit: int,
                         checkpoint_every: int) -> BpeModel:
-    spark = work.sparkSession
-    allw = work
-    total_tokens = allw.agg(F.coalesce(F.sum(F.col("n") * F.length("syms")), F.lit(0))).first()[0]
-    work = allw.filter(F.length("syms") > 1)
+    total_tokens = work.agg(F.coalesce(F.sum(F.col("n") * F.length("syms")), F.lit(0))).first()[0]
+    work = work.filter(F.length("syms") > 1)
     next_id = max([model.first_merge_id] + [n + 1 for _l, _r, n, _f, _t in model.merges]
                   + [i + 1 for i in model.extra_vocab])
-    _log("words checkpointed")
-    top = [(r["l"], r["r"], r["f"]) for r in _top(pair_table(work), batch_limit).collect()]
-    _log("first top")
+    counts = cut_lineage(pair_table(work))
+    top = [(r["l"], r["r"], r["f"]) for r in _top(counts, batch_limit).collect()]
     merges = list(model.merges)
     rounds = 0
-    keep: list[DataFrame] = []   # caches the current word table still depends on
+    keep: list[DataFrame] = []   # caches that the current tables depend on
+
+    def order(rows) -> list[tuple[int, int, int]]:
+        return sorted(((r["l"], r["r"], r["f"]) for r in rows if r["tag"] == "top"), key=lambda t: (-t[2], t[0], t[1]))
+
     while next_id < vocab_size and top:
         cand = _choose_batch(top, next_id, vocab_size - next_id, batch_limit)
         if not cand:
             break
         trip = [(l, r, n) for l, r, n, _f in cand]
-        applied = work.select(apply_merges(F.col("syms"), trip).alias("syms"), "n").persist()
-        pt = pair_table(applied).persist()
-        k = len(cand)
-        n1, nk = cand[0][2], cand[-1][2]
-        parts = [_top(pt, batch_limit).select(F.lit("top").alias("tag"), "l", "r", "f")]
-        new_l = F.col("l").between(n1, nk)
-        parts.append(pt.filter(new_l).groupBy("l").agg(F.sum("f").alias("f"))
-                     .select(F.lit("occ").alias("tag"), "l", F.lit(0).alias("r"), "f"))
-        if k > 1:
-            x = pt.filter(F.col("l").between(n1, nk) | F.col("r").between(n1, nk))
-            x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("i"))
-            jl = F.col("l") - F.lit(n1) + 1
-            jr = F.col("r") - F.lit(n1) + 1
-            a_arr, b_arr = _arr([a for a, _, _ in trip]), _arr([b for _, b, _ in trip])
-            lf = F.when((jl > F.col("i")) & (jl <= k), F.element_at(b_arr, jl)).otherwise(F.col("l"))
-            rf = F.when((jr > F.col("i")) & (jr <= k), F.element_at(a_arr, jr)).otherwise(F.col("r"))
-            made = F.lit(n1) + F.col("i") - 1
-            x = x.select("i", lf.alias("lf"), rf.alias("rf"), "f")
-            x = x.filter((F.col("rf") != END_ID)
-                         & (F.col("lf").between(F.lit(n1), made) | F.col("rf").between(F.lit(n1), made)))
-            chk = (x.groupBy("i", "lf", "rf").agg(F.sum("f").alias("f"))
-                   .groupBy("i").agg(F.max("f").alias("f")))
-            parts.append(chk.select(F.lit("chk").alias("tag"), F.col("i").alias("l"), F.lit(0).alias("r"), "f"))
-        res = parts[0]
-        for p in parts[1:]:
-            res = res.unionByName(p)
-        t0 = time.time()
-        rows = res.collect()
-        _log(f"round {rounds} batch {k} collect {time.time() - t0:.2f}s")
-        new_top = sorted(((r["l"], r["r"], r["f"]) for r in rows if r["tag"] == "top"),
-                         key=lambda t: (-t[2], t[0], t[1]))
-        occ = {r["l"]: r["f"] for r in rows if r["tag"] == "occ"}
-        chk_max = {r["l"]: r["f"] for r in rows if r["tag"] == "chk"}
-        cut = k
-        for i in range(1, k):
-            if chk_max.get(i, 0) >= cand[i][3]:
-                cut = i
+        while True:
+            change = pair_change(work, trip).persist()
+            after = add_change(counts, change).persist()
+            made = change.filter(F.col("l").between(trip[0][2], trip[-1][2])).groupBy("l").agg(F.sum("f").alias("f"))
+            res = _top(after, batch_limit).select(F.lit("top").alias("tag"), "l", "r", "f").unionByName(
+                made.select(F.lit("occ").alias("tag"), "l", F.lit(0).alias("r"), "f"))
+            if len(trip) > 1:
+                res = res.unionByName(_check_rows(change, trip))
+            rows = res.collect()
+            chk = {r["l"]: r["f"] for r in rows if r["tag"] == "chk"}
+            change.unpersist()
+            cut = next((i for i in range(1, len(trip)) if chk.get(i, 0) >= cand[i][3]), len(trip))
+            if cut == len(trip):
                 break
-        tokens = total_tokens
-        for l, r, n, f in cand[:cut]:
-            tokens -= occ.get(n, 0)
-            merges.append((l, r, n, f, tokens))
-        total_tokens = tokens
-        next_id = cand[cut - 1][2] + 1
-        if cut == k:
-            for d in keep:
-                d.unpersist()
-            keep = [applied]
-            work = applied.filter(F.length("syms") > 1)
-            top = new_top
-        else:
-            applied.unpersist()
-            work = (work.select(apply_merges(F.col("syms"), trip[:cut]).alias("syms"), "n")
-                    .filter(F.length("syms") > 1).persist())
-            keep.append(work)
-            inner = spark.createDataFrame([(a, b, int(occ.get(n, 0))) for a, b, n in trip[cut:]],
-                                          "l int, r int, f bigint")
-            folded = _fold(pt, trip, cut).unionByName(inner).groupBy("l", "r").agg(F.sum("f").alias("f"))
-            top = [(r["l"], r["r"], r["f"]) for r in _top(folded, batch_limit).collect()]
-        pt.unpersist()
+            after.unpersist()
+            trip = trip[:cut]
+        occ = {r["l"]: r["f"] for r in rows if r["tag"] == "occ"}
+        for l, r, n, f in cand[:len(trip)]:
+            total_tokens -= occ.get(n, 0)
+            merges.append((l, r, n, f, total_tokens))
+        next_id = trip[-1][2] + 1
+        top = order(rows)
+        work = work.select(apply_merges(F.col("syms"), trip).alias("syms"), "n").filter(F.length("syms") > 1).persist()
+        counts = after
+        keep += [work, counts]
         rounds += 1
-        _log(f"round {rounds - 1} done, cut {cut}/{k}")
         if rounds % checkpoint_every == 0:
-            work = cut_lineage(work).persist()
-            _log("checkpoint")
+            work, counts = cut_lineage(work), cut_lineage(counts)
             for d in keep:
                 d.unpersist()
-            keep = [work]
+            keep = []
     for d in keep:
         d.unpersist()
     out = BpeModel(specials=model.specials, merges=merges, byte_offset=model.byte_offset,

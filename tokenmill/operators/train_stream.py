@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.constants import SPECIAL_TOKENS_19
 from tokenmill.functions.text import SYM_BASE, clean_text, pre_tokenize, sym, to_byte_symbols
-from tokenmill.operators.stats import symbol_pairs
+from tokenmill.operators.stats import first_seen_counts, symbol_pairs
 from tokenmill.operators.train import BpeModel, round_conf
 from tokenmill.session import cut_lineage, session_conf
 
@@ -38,11 +38,11 @@ def train_bpe_stream(docs: DataFrame, vocab_size: int, text_col: str = "text", i
         keep: list[DataFrame] = []
         while next_id < vocab_size:
             p = work.select("doc_id", F.posexplode(symbol_pairs(F.col("syms"))).alias("pos", "pair"))
-            agg = p.groupBy("pair").agg(F.count(F.lit(1)).alias("f"), F.min(F.struct("doc_id", "pos")).alias("first"))
-            best = agg.orderBy(F.desc("f"), F.col("first.doc_id"), F.col("first.pos")).limit(1).collect()
-            if not best or best[0]["f"] < 2:
+            agg = first_seen_counts(p, ["pair"])
+            best = agg.orderBy(F.desc("freq"), "first_doc", "first_pos").limit(1).collect()
+            if not best or best[0]["freq"] < 2:
                 break
-            pair, f = best[0]["pair"], best[0]["f"]
+            pair, f = best[0]["pair"], best[0]["freq"]
             a, b = ord(pair[0]) - SYM_BASE, ord(pair[1]) - SYM_BASE
             nxt = work.select("doc_id", F.replace(F.col("syms"), F.lit(sym(a) + sym(b)), F.lit(sym(next_id)))
                               .alias("syms")).persist()
