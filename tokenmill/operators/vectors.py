@@ -45,41 +45,39 @@ def softmax_over(df: DataFrame, keys: list[str], score: str, out: str = "weight"
     return e.join(tot, keys).withColumn(out, F.col("_e") / F.col("_s")).drop("_m", "_e", "_s")
 
 
-def _block_partials(dim: int, scale: float):
+def _block_partials(scale: float, look_back: int | None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["_role"] == 0]
-        k = pdf[pdf["_role"] == 1]
+        q, k = pdf[pdf["_role"] == 0], pdf[pdf["_role"] == 1]
+        columns = ["_e", "_o", "_i", "_m", "_s", "_acc"]
         if q.empty or k.empty:
-            return pd.DataFrame({"_e": [], "_i": [], "_m": [], "_s": [], "_acc": []})
-        qv = np.stack(q["_v"].to_numpy()).astype(np.float64)
-        kv = np.stack(k["_v"].to_numpy()).astype(np.float64)
-        qi = q["_r"].to_numpy()
-        kj = k["_r"].to_numpy()
-        sc = (qv @ kv.T) * scale
-        mask = kj[None, :] <= qi[:, None]
-        sc = np.where(mask, sc, -np.inf)
-        m = sc.max(axis=1)
-        ok = np.isfinite(m)
-        w = np.where(mask, np.exp(sc - np.where(ok, m, 0.0)[:, None]), 0.0)
-        s = w.sum(axis=1)
-        acc = w @ kv
-        keep = ok
-        return pd.DataFrame({"_e": q["_e"].to_numpy()[keep], "_i": qi[keep], "_m": m[keep], "_s": s[keep],
-                             "_acc": list(acc[keep])})
+            return pd.DataFrame({c: [] for c in columns})
+        queries = np.stack(q["_v"].to_numpy()).astype(np.float64)
+        keys = np.stack(k["_v"].to_numpy()).astype(np.float64)
+        age = q["_r"].to_numpy()[:, None] - k["_r"].to_numpy()[None, :]
+        seen = (age >= 0) if look_back is None else (age >= 0) & (age < look_back)
+        scores = np.where(seen, (queries @ keys.T) * scale, -np.inf)
+        top = scores.max(axis=1)
+        some = np.isfinite(top)
+        weights = np.where(seen, np.exp(scores - np.where(some, top, 0.0)[:, None]), 0.0)
+        return pd.DataFrame(dict(zip(columns, (
+            q["_e"].to_numpy()[some], q["_o"].to_numpy()[some], q["_r"].to_numpy()[some], top[some],
+            weights.sum(axis=1)[some], list((weights @ keys)[some])))))
     return run
 
 
-def causal_history(df: DataFrame, entity: str, order: str, vec: str, block: int = 64) -> DataFrame:
+def causal_history(df: DataFrame, entity: str, order: str, vec: str, block: int = 1024,
+                   look_back: int | None = None) -> DataFrame:
     """M6: for each row i of an entity, the softmax over rows j <= i of
     ``dot(x_i, x_j) / sqrt(d)`` weighting ``x_j`` (q = k = v = x):
-    ``(entity, order, out ARRAY<DOUBLE>)``.
+    ``(entity, order, out ARRAY<DOUBLE>)``. With ``look_back`` only the last
+    so many rows, the row itself included, take part.
 
     Exact, without a group in one task and without pair rows: rows are
     numbered per entity (two-phase prefix count), cut into blocks of
-    ``block`` rows, and each (query block, key block <= query block) group —
-    at most ``2 * block`` rows — computes log-sum-exp partials with NumPy.
-    Partials are merged per row: ``M = max m``, ``S = sum s e^(m-M)``,
-    ``out = sum acc e^(m-M) / S``.
+    ``block`` rows, and each (query block, key block <= query block) group,
+    at most ``2 * block`` rows, computes log-sum-exp partials with NumPy.
+    A row's partials, one per key block, are merged as whole arrays:
+    ``M = max m``, ``S = sum s e^(m-M)``, ``out = sum acc e^(m-M) / S``.
     """
     d = df.select(F.col(entity).alias("_e"), F.col(order).alias("_o"), as_double(vec).alias("_v"))
     dim = d.select(F.max(F.size("_v"))).first()[0] or 1
@@ -87,27 +85,28 @@ def causal_history(df: DataFrame, entity: str, order: str, vec: str, block: int
     num = running_totals(d, ["_e"], "_o", ["_one"], inclusive=False)
     num = num.select("_e", "_o", "_v", F.col("_one_run").alias("_r"),
                      F.floor(F.col("_one_run") / block).alias("_b"))
-    nb = num.groupBy("_e").agg(F.max("_b").alias("_nb"))
-    numb = num.join(nb, "_e")
-    # a query row meets every key block up to its own; a key row every query block from its own
-    queries = numb.select("_e", "_r", "_v", F.col("_b").alias("_qb"),
-                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b"))).alias("_kb"),
-                          F.lit(0).alias("_role"))
-    keys = numb.select("_e", "_r", "_v", F.explode(F.sequence(F.col("_b"), F.col("_nb"))).alias("_qb"),
+    numb = num.join(num.groupBy("_e").agg(F.max("_b").alias("_nb")), "_e")
+    oldest, newest = F.lit(0).cast("bigint"), F.col("_nb")
+    if look_back is not None:
+        reach = -(-(look_back - 1) // block)           # key blocks before a query's own that it can need
+        oldest, newest = F.greatest(oldest, F.col("_b") - reach), F.least(newest, F.col("_b") + reach)
+    # a query row meets the key blocks up to its own; a key row the query blocks from its own
+    queries = numb.select("_e", "_o", "_r", "_v", F.col("_b").alias("_qb"),
+                          F.explode(F.sequence(oldest, F.col("_b"))).alias("_kb"), F.lit(0).alias("_role"))
+    keys = numb.select("_e", "_o", "_r", "_v", F.explode(F.sequence(F.col("_b"), newest)).alias("_qb"),
                        F.col("_b").alias("_kb"), F.lit(1).alias("_role"))
-    both = queries.unionByName(keys)
-    parts = both.groupBy("_e", "_qb", "_kb").applyInPandas(
-        _block_partials(dim, 1.0 / math.sqrt(dim)),
-        "_e " + df.schema[entity].dataType.simpleString() + ", _i bigint, _m double, _s double, _acc array<double>")
-    mx = parts.groupBy("_e", "_i").agg(F.max("_m").alias("_mx"))
-    p = parts.join(mx, ["_e", "_i"]).withColumn("_w", F.exp(F.col("_m") - F.col("_mx")))
-    ex = p.select("_e", "_i", (F.col("_s") * F.col("_w")).alias("_sw"),
-                  F.posexplode(F.transform("_acc", lambda a: a * F.col("_w"))).alias("_d", "_a"))
-    per_dim = ex.groupBy("_e", "_i", "_d").agg(F.sum("_a").alias("_a"), F.sum("_sw").alias("_sw"))
-    # _sw summed once per dimension row: every dimension carries the same per-partial weight
-    vecs = per_dim.groupBy("_e", "_i").agg(
-        F.array_sort(F.collect_list(F.struct("_d", (F.col("_a") / F.col("_sw")).alias("v")))).alias("xs"))
-    back = num.select("_e", "_o", F.col("_r").alias("_i"))
-    out = vecs.join(back, ["_e", "_i"]).select(
-        F.col("_e").alias(entity), F.col("_o").alias(order), F.transform("xs", lambda x: x["v"]).alias("out"))
-    return out
+    parts = queries.unionByName(keys).groupBy("_e", "_qb", "_kb").applyInPandas(
+        _block_partials(1.0 / math.sqrt(dim), look_back),
+        f"_e {df.schema[entity].dataType.simpleString()}, _o {df.schema[order].dataType.simpleString()}, _i bigint, "
+        "_m double, _s double, _acc array<double>")
+    g = parts.groupBy("_e", "_i").agg(F.first("_o").alias("_o"), F.max("_m").alias("_mx"),
+                                      F.collect_list(F.struct("_m", "_s", "_acc")).alias("_p"))
+    weigh = F.transform("_p", lambda p: F.struct((p["_s"] * F.exp(p["_m"] - F.col("_mx"))).alias("s"),
+                                                 F.transform(p["_acc"], lambda a: a * F.exp(p["_m"] - F.col("_mx"))).alias("a")))
+    g = g.select("_e", "_o", weigh.alias("_p"))
+    total = F.aggregate("_p", F.lit(0.0), lambda t, p: t + p["s"])
+    acc = F.aggregate(F.slice("_p", 2, F.size("_p")), F.element_at("_p", 1)["a"],
+                      lambda t, p: F.zip_with(t, p["a"], lambda x, y: x + y))
+    g = g.select("_e", "_o", total.alias("_t"), acc.alias("_a"))
+    return g.select(F.col("_e").alias(entity), F.col("_o").alias(order),
+                    F.transform("_a", lambda a: a / F.col("_t")).alias("out"))

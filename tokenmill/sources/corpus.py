@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -11,7 +11,7 @@ def spread(df: DataFrame) -> DataFrame:
     (one small file, one row group) enough partitions for the text work.
 
     Large inputs already come in many splits and are left untouched, so
-    at scale this adds no shuffle.
+    at scale this adds no shuffle. Rows carry their ids by then.
     """
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
@@ -25,31 +25,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+def _file_order_ids(df: DataFrame, columns: list) -> DataFrame:
+    """``doc_id`` 0, 1, ... in the order of file path and place in the file,
+    whatever the partitions: rows are numbered within their split, and the
+    splits' sizes (one row per split) are summed in path and offset order."""
+    split = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")]
+    rows = df.select(*columns, *split, F.monotonically_increasing_id().alias("_row"))
+    sizes = rows.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = sizes.select("_path", "_start", "_first", (F.sum("_n").over(Window.orderBy("_path", "_start"))
+                                                        - F.col("_n")).alias("_before"))
+    return rows.join(before, ["_path", "_start"]).withColumn(
+        "doc_id", F.col("_before") + F.col("_row") - F.col("_first")).drop("_path", "_start", "_first", "_before", "_row")
+
+
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
                 text_col: str = "text", title_col: str | None = None,
                 id_col: str | None = "doc_id",
                 max_examples: int | None = None) -> DataFrame:
     """Load a corpus as ``(doc_id BIGINT, title STRING, text STRING)``.
 
-    ``fmt`` is any Spark batch format (parquet, json, orc, csv, text).
-    For ``text`` each line is a document. ``max_examples`` keeps the first
-    N documents by id (``None`` or 0 = all); asking for more than exist
-    returns them all.
+    ``fmt`` is any Spark file format (parquet, json, orc, csv, text). For
+    ``text`` each line is a document. Without an id column documents are
+    numbered from 0 in file order. ``max_examples`` keeps the first N
+    documents by id (``None`` or 0 = all); asking for more than exist
+    returns them all. Only ids take part in finding the N-th one.
     """
     reader = spark.read.format(fmt)
     if fmt == "json":
         reader = reader.option("multiLine", "false")
     if fmt == "csv":
         reader = reader.option("header", "true")
-    df = spread(reader.load(path))
+    df = reader.load(path)
     if fmt == "text":
         text_col = "value"
-    doc_id = (F.col(id_col).cast("bigint") if id_col and id_col in df.columns
-              else F.monotonically_increasing_id())
     title = (F.col(title_col).cast("string") if title_col and title_col in df.columns
              else F.lit(None).cast("string"))
-    out = df.select(doc_id.alias("doc_id"), title.alias("title"),
-                    F.col(text_col).cast("string").alias("text"))
-    if max_examples:
-        out = out.orderBy("doc_id").limit(int(max_examples))
-    return out
+    columns = [title.alias("title"), F.col(text_col).cast("string").alias("text")]
+    if id_col and id_col in df.columns:
+        out = df.select(F.col(id_col).cast("bigint").alias("doc_id"), *columns)
+        if max_examples:
+            last = out.select("doc_id").orderBy("doc_id").limit(int(max_examples)).agg(F.max("doc_id")).first()[0]
+            out = out.filter(F.col("doc_id") <= F.lit(last))
+    else:
+        out = _file_order_ids(df, columns).select("doc_id", "title", "text")
+        if max_examples:
+            out = out.filter(F.col("doc_id") < int(max_examples))
+    return spread(out)

@@ -1,25 +1,25 @@
 """Save and load a trained tokenizer.
 
-Layout under ``path``: ``vocab/`` and ``merges/`` as parquet tables, and
-``tokenizer.json`` / ``tokenizer_config.json`` in the usual tokenizer file
-format (vocab map printable-repr -> id in the order specials, 256 bytes,
-merges by id; merges as ``"repr1 repr2"`` in rank order). The model is
-bounded by the vocabulary size; its JSON is one row written by Spark.
+Layout under ``path``: ``vocab/`` and ``merges/`` as parquet tables, and the
+files ``tokenizer.json`` / ``tokenizer_config.json`` in the usual exchange
+format (vocabulary: printable form -> id in id order; merges as lines of two
+printable forms in rank order). The JSON is put together by Spark from the
+vocabulary and merge tables, which are bounded by the vocabulary size.
 Loading reads the JSON with an explicit schema and rebuilds merges with
 equi-joins on the printable forms.
 """
 
 from __future__ import annotations
 
-import json
-from datetime import datetime, timezone
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenmill.constants import SPECIAL_TOKENS_19
-from tokenmill.functions.text import byte_to_printable_map, bytes_to_printable, is_printable_form, printable_to_bytes
+from tokenmill.constants import SPECIAL_TOKENS_19, SPECIAL_TOKENS_25
+from tokenmill.functions.text import bytes_to_printable, is_printable_form, printable_to_bytes
 from tokenmill.operators.train import BpeModel
 
 TOKENIZER_SCHEMA = T.StructType([
@@ -30,42 +30,63 @@ TOKENIZER_SCHEMA = T.StructType([
         T.StructField("merges", T.ArrayType(T.StringType())),
     ])),
 ])
+CONFIG_SCHEMA = "model_type string, vocab_size int, special_tokens array<string>, trained_on string, date string"
+
+# fixed values: the parts of the file that do not depend on the model
+FILE_FRAME = """named_struct(
+  'version', '1.0',
+  'model', named_struct('type', 'BPE', 'vocab', vocab, 'merges', merges,
+                        'unk_token', cast(null as string), 'byte_fallback', true),
+  'pre_tokenizer', named_struct('type', 'Sequence', 'pretokenizers', array(
+      map('type', 'Digits', 'individual_digits', 'true'),
+      map('type', 'ByteLevel', 'add_prefix_space', 'false', 'use_regex', 'true'))),
+  'decoder', named_struct('type', 'ByteLevel', 'add_prefix_space', false),
+  'post_processor', cast(null as string),
+  'added_tokens', cast(array() as array<string>))"""
+
+
+def printable_vocab(model: BpeModel, spark: SparkSession) -> DataFrame:
+    """``(repr, id)``: specials by name, all else in printable form. Of entries
+    with one form the largest id counts."""
+    v = model.vocab_df(spark)
+    form = F.when(F.col("kind") == "special", F.col("bytes").cast("string")).otherwise(bytes_to_printable("bytes"))
+    return v.select(form.alias("repr"), "id").groupBy("repr").agg(F.max("id").alias("id"))
+
+
+def tokenizer_document(model: BpeModel, spark: SparkSession) -> DataFrame:
+    """One row, ``value``: the tokenizer file."""
+    pairs = F.array_sort(F.collect_list(F.struct("id", "repr")))
+    vocab = printable_vocab(model, spark).agg(
+        F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["repr"], p["id"]))).alias("vocab"))
+    forms = model.vocab_df(spark).select("id", bytes_to_printable("bytes").alias("repr"))
+    left = forms.withColumnsRenamed({"id": "left", "repr": "l"})
+    right = forms.withColumnsRenamed({"id": "right", "repr": "r"})
+    # the vocabulary is bounded by the model size: broadcast lookups
+    lines = (model.merges_df(spark).join(F.broadcast(left), "left").join(F.broadcast(right), "right")
+             .agg(F.array_sort(F.collect_list(F.struct("rank", F.concat_ws(" ", "l", "r").alias("line")))).alias("x"))
+             .select(F.transform("x", lambda x: x["line"]).alias("merges")))
+    return vocab.crossJoin(lines).select(      # one row each
+        F.regexp_replace(F.to_json(F.expr(FILE_FRAME), {"ignoreNullFields": "false"}),
+                         r'(individual_digits|add_prefix_space|use_regex)":"(true|false)"', '$1":$2').alias("value"))
+
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """The file system and path object of a folder, whatever store it is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-def _repr(b: bytes, table: dict[int, str]) -> str:
-    return "".join(table[x] for x in b)
-
-
-def tokenizer_json(model: BpeModel, trained_on: str = "") -> tuple[str, str]:
-    """The tokenizer file and config file contents for ``model``."""
-    table = byte_to_printable_map()
-    vb = model.vocab_bytes()
-    vocab: dict[str, int] = {}
-    seen: set[int] = set()
-    for i, s in enumerate(model.specials):
-        vocab[s] = i
-        seen.add(i)
-    for b in range(256):
-        vocab[table[b]] = model.byte_offset + b
-        seen.add(model.byte_offset + b)
-    for tid in sorted(vb):
-        if tid not in seen:
-            vocab[_repr(vb[tid], table)] = tid
-            seen.add(tid)
-    merges = [f"{_repr(vb[l], table)} {_repr(vb[r], table)}" for l, r, _n, _f, _t in model.merges]
-    doc = {
-        "version": "1.0",
-        "model": {"type": "BPE", "vocab": vocab, "merges": merges, "unk_token": None, "byte_fallback": True},
-        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
-            {"type": "Digits", "individual_digits": True},
-            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}]},
-        "decoder": {"type": "ByteLevel", "add_prefix_space": False},
-        "post_processor": None,
-        "added_tokens": [],
-    }
-    config = {"model_type": "bpe", "vocab_size": model.vocab_size, "special_tokens": list(model.specials),
-              "trained_on": trained_on, "date": datetime.now(timezone.utc).isoformat()}
-    return json.dumps(doc, ensure_ascii=False), json.dumps(config, ensure_ascii=False)
+
+def _write_one_file(df: DataFrame, folder: str, name: str) -> None:
+    """The single row of ``df`` as one text file ``folder/name``."""
+    spark = df.sparkSession
+    part = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    df.coalesce(1).write.text(part)
+    fs, at = _hadoop_path(spark, part)
+    (written,) = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
+    _, target = _hadoop_path(spark, f"{folder}/{name}")
+    fs.delete(target, False)
+    fs.rename(written, target)
+    fs.delete(at, True)
 
 
 def write_tokenizer(spark: SparkSession, model: BpeModel, path: str, trained_on: str = "") -> None:
@@ -74,27 +95,57 @@ def write_tokenizer(spark: SparkSession, model: BpeModel, path: str, trained_on:
     vocab = model.vocab_df(spark).withColumn("repr", bytes_to_printable(F.col("bytes")))
     vocab.write.mode("overwrite").parquet(f"{path}/vocab")
     model.merges_df(spark).write.mode("overwrite").parquet(f"{path}/merges")
-    tok, cfg = tokenizer_json(model, trained_on)
-    spark.createDataFrame([(tok,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/tokenizer.json")
-    spark.createDataFrame([(cfg,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/tokenizer_config.json")
+    config = spark.range(1).select(F.to_json(F.struct(
+        F.lit("bpe").alias("model_type"), F.lit(model.vocab_size).alias("vocab_size"),
+        F.lit(list(model.specials)).alias("special_tokens"), F.lit(trained_on).alias("trained_on"),
+        F.current_timestamp().cast("string").alias("date"))).alias("value"))
+    _write_one_file(config, path, "tokenizer_config.json")
+    _write_one_file(tokenizer_document(model, spark), path, "tokenizer.json")
+
+
+def _file_of(path: str) -> str:
+    path = path.rstrip("/")
+    return path if path.endswith(".json") else f"{path}/tokenizer.json"
+
+
+def tokenizer_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, _file_of(path))
+    return fs.exists(p)
+
+
+def _special_names(spark: SparkSession, src: str) -> list[str]:
+    """The special tokens that the config beside the file lists; without one, all known names."""
+    config = src.rsplit("/", 1)[0] + "/tokenizer_config.json"
+    fs, p = _hadoop_path(spark, config)
+    if fs.exists(p):
+        row = spark.read.schema(CONFIG_SCHEMA).option("multiLine", "true").json(config).first()
+        if row and row["special_tokens"]:
+            return list(row["special_tokens"])
+    return list(dict.fromkeys([*SPECIAL_TOKENS_19, *SPECIAL_TOKENS_25]))
 
 
 def read_tokenizer_tables(spark: SparkSession, path: str,
                           known_specials: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """S4 as tables: ``(vocab (id, repr, bytes, kind), merges (rank, left, right, new_id))``.
 
-    A known special keeps its UTF-8 bytes; other entries are decoded from the
-    printable form (falling back to UTF-8 when a character is outside it).
-    A merge is kept only when ``r1``, ``r2`` and ``r1 + r2`` are all in the
-    vocabulary; entries without a space are skipped.
+    A special token (named by the caller, by the config file, or known) keeps
+    its UTF-8 bytes; other entries are decoded from the printable form (falling
+    back to UTF-8 when a character is outside it). A merge is kept only when
+    ``r1``, ``r2`` and ``r1 + r2`` are all in the vocabulary; entries without a
+    space are skipped. A missing file raises ``FileNotFoundError``, one without
+    a readable vocabulary ``ValueError``.
     """
-    known = list(known_specials or SPECIAL_TOKENS_19)
-    path = path.rstrip("/")
-    src = path if path.endswith(".json") else f"{path}/tokenizer.json"
-    doc = spark.read.schema(TOKENIZER_SCHEMA).option("multiLine", "true").json(src)
-    if doc.isEmpty():
+    src = _file_of(path)
+    if not tokenizer_exists(spark, src):
         raise FileNotFoundError(f"no tokenizer.json under {path}")
+    known = list(known_specials or _special_names(spark, src))
+    doc = spark.read.schema(TOKENIZER_SCHEMA).option("multiLine", "true").json(src)
+    try:
+        usable = doc.filter(F.size("model.vocab") > 0).take(1)
+    except AnalysisException as e:
+        raise ValueError(f"{src} cannot be read") from e
+    if not usable:
+        raise ValueError(f"{src} is damaged: it has no readable vocabulary")
     vocab = doc.select(F.explode("model.vocab").alias("repr", "id"))
     is_special = F.col("repr").isin(known)
     raw = F.when(is_special | ~is_printable_form("repr"), F.encode("repr", "UTF-8")) \
@@ -115,12 +166,13 @@ def read_tokenizer_tables(spark: SparkSession, path: str,
 
 
 def read_tokenizer(spark: SparkSession, path: str, known_specials: list[str] | None = None) -> BpeModel:
-    """Load a tokenizer file into a :class:`BpeModel` (bounded: vocab-size rows)."""
+    """Load a tokenizer file into a :class:`BpeModel` (bounded: vocab-size
+    rows). Byte 0's printable form gives the byte offset."""
     vocab, merges = read_tokenizer_tables(spark, path, known_specials)
-    vrows = vocab.collect()
-    specials = [r["repr"] for r in sorted((r for r in vrows if r["kind"] == "special"), key=lambda r: r["id"])]
-    extra = {r["id"]: bytes(r["bytes"]) for r in vrows}
-    mrows = sorted(merges.collect(), key=lambda r: r["rank"])
-    model = BpeModel(specials=specials, merges=[(r["left"], r["right"], r["new_id"], 0, 0) for r in mrows],
-                     byte_offset=len(specials), extra_vocab=extra)
-    return model
+    zero = bytes_to_printable(F.unhex(F.lit("00")))
+    rows = vocab.withColumn("zero", F.col("repr") == zero).collect()
+    specials = [r["repr"] for r in sorted((r for r in rows if r["kind"] == "special"), key=lambda r: r["id"])]
+    offset = next((r["id"] for r in rows if r["zero"]), len(specials))
+    pairs = sorted(merges.collect(), key=lambda r: r["rank"])
+    return BpeModel(specials=specials, merges=[(r["left"], r["right"], r["new_id"], 0, 0) for r in pairs],
+                    byte_offset=offset, extra_vocab={r["id"]: bytes(r["bytes"]) for r in rows})
