@@ -44,7 +44,7 @@ from (select unnest({Q.pretokens('text')}) as word from ({Q.TRAINING_DOCS})) gro
 """)
 def a1_word_freq_training(spark, sf):
     docs = training_documents(read_table(spark, sf, "documents"), title_col=None)
-    return word_freq(docs)
+    return word_freq(docs, "clean", clean=False)
 
 
 @register("A2_corpus_stats", f"""
@@ -67,13 +67,24 @@ def a3_pair_freq(spark, sf):
 
 
 @register("A4_stream_pair_freq", f"""
-select l[i] as "left", l[i + 1] as "right", count(*)::bigint as freq,
-       min(doc_id) as first_doc
+select l[i] as "left", l[i + 1] as "right", count(*)::bigint as freq, min(doc_id) as first_doc,
+       arg_min(i, (doc_id, i)) - 1 as first_pos
 from {STREAM_SQL} s, range(1, len(l)) r(i) group by 1, 2
 """)
 def a4_stream_pair_freq(spark, sf):
-    p = stream_pair_freq(read_table(spark, sf, "documents"))
-    return p.select("left", "right", "freq", "first_doc")
+    return stream_pair_freq(read_table(spark, sf, "documents"))
+
+
+@register("A4_stream_pair_freq_cross_docs", f"""
+with s as materialized {STREAM_SQL},
+inner_pairs as (select l[i] as "left", l[i + 1] as "right", doc_id, i - 1 as pos from s, range(1, len(l)) r(i)),
+ends as (select l[-1] as "left", lead(l[1]) over (order by doc_id) as "right", doc_id, len(l) - 1 as pos from s where len(l) > 0),
+p as (select * from inner_pairs union all select * from ends where "right" is not null)
+select "left", "right", count(*)::bigint as freq, min(doc_id) as first_doc, arg_min(pos, (doc_id, pos)) as first_pos
+from p group by 1, 2
+""")
+def a4_stream_pair_freq_cross(spark, sf):
+    return stream_pair_freq(read_table(spark, sf, "documents"), cross_docs=True)
 
 
 @register("A5_top_pairs", f"""
@@ -96,29 +107,30 @@ def a5_top_stream_pairs(spark, sf):
     return top_pairs(p, k=10, tie="first_seen").select("left", "right", "freq", "first_doc", "first_pos")
 
 
-# scores = first 10 dimensions of an embedding, target = label % 10.
-@register("A9_cross_entropy", """
-with s as (select list_transform(embedding[1:10], lambda x: x::double) as sc, (label % 10) as tgt from embeddings),
-l as (select list_max(sc) + ln(list_sum(list_transform(sc, lambda x: exp(x - list_max(sc))))) - sc[tgt + 1] as loss from s)
+# scores = an embedding, target = label modulo its length.
+_LOSS_SQL = """s as (select label, list_transform(embedding, lambda x: x::double) as sc, label % len(embedding) as tgt from embeddings),
+l as (select label, list_max(sc) + ln(list_sum(list_transform(sc, lambda x: exp(x - list_max(sc))))) - sc[tgt + 1] as loss from s)"""
+
+
+def _scores(spark, sf):
+    return read_table(spark, sf, "embeddings").select("label", F.col("embedding").alias("scores"),
+                                                      (F.col("label") % F.size("embedding")).alias("target"))
+
+
+@register("A9_cross_entropy", f"""with {_LOSS_SQL}
 select round(avg(loss), 6) as loss, count(*)::bigint as n, round(exp(avg(loss)), 6) as perplexity from l
 """)
 def a9_cross_entropy(spark, sf):
-    e = read_table(spark, sf, "embeddings")
-    df = e.select(F.slice("embedding", 1, 10).alias("scores"), (F.col("label") % 10).alias("target"))
-    r = cross_entropy(df, "scores", "target")
+    r = cross_entropy(_scores(spark, sf), "scores", "target")
     return r.select(F.round("loss", 6).alias("loss"), "n", F.round("perplexity", 6).alias("perplexity"))
 
 
-@register("A9_cross_entropy_by_label", """
-with s as (select label, list_transform(embedding[1:10], lambda x: x::double) as sc, (label % 10) as tgt from embeddings),
-l as (select label, list_max(sc) + ln(list_sum(list_transform(sc, lambda x: exp(x - list_max(sc))))) - sc[tgt + 1] as loss from s)
+@register("A9_cross_entropy_by_label", f"""with {_LOSS_SQL}
 select label, round(avg(loss), 6) as loss, count(*)::bigint as n, round(exp(avg(loss)), 6) as perplexity
 from l group by label
 """)
 def a9_cross_entropy_by(spark, sf):
-    e = read_table(spark, sf, "embeddings")
-    df = e.select("label", F.slice("embedding", 1, 10).alias("scores"), (F.col("label") % 10).alias("target"))
-    r = cross_entropy(df, "scores", "target", by=["label"])
+    r = cross_entropy(_scores(spark, sf), "scores", "target", by=["label"])
     return r.select("label", F.round("loss", 6).alias("loss"), "n", F.round("perplexity", 6).alias("perplexity"))
 
 

@@ -34,6 +34,25 @@ def s1_read_corpus(spark, sf):
     return read_corpus(spark, f"{sf}/documents.parquet", text_col="text", id_col="doc_id")
 
 
+@register("S1_first_n", """
+select doc_id, text from documents order by doc_id limit 250
+""")
+def s1_first_n(spark, sf):
+    """The first-N option of the source."""
+    return read_corpus(spark, f"{sf}/documents.parquet", max_examples=250).select("doc_id", "text")
+
+
+@register("S1_file_order", """
+select count(*)::bigint as documents, min(page_id)::bigint as first_id, max(page_id)::bigint as last_id, true as dense
+from pages
+""")
+def s1_file_order(spark, sf):
+    """A source without an id column: documents are numbered densely in file order."""
+    d = read_corpus(spark, f"{sf}/pages.parquet", text_col="html", id_col=None)
+    return d.agg(F.count(F.lit(1)).alias("documents"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
+                 (F.count_distinct("doc_id") == F.count(F.lit(1))).alias("dense"))
+
+
 @register("S5_byte_alphabet", """
 with b as (select range::int as byte from range(256)),
 k as (select byte, (byte between 33 and 126) or (byte between 161 and 172) or (byte between 174 and 255) as keep from b)
@@ -97,15 +116,16 @@ select doc_id, text as rejoined from documents
 def t7_split_lossless(spark, sf):
     """Lossless split of the raw pages: joining the pieces gives the text back.
 
-    The oracle checks that property (RE2 has no look-ahead, so DuckDB cannot
-    list the pieces themselves); the pieces are checked against Python's
-    ``regex`` in the tests.
+    The pieces themselves are compared in ``T7_split_lossless_pages``.
     """
     d = _docs(spark, sf)
     return d.select("doc_id", F.array_join(split_lossless("text"), "").alias("rejoined"))
 
 
-@register("T7_split_lossless_pages")
+@register("T7_split_lossless_pages", f"""
+select page_id, (generate_subscripts(l, 1) - 1)::int as pos, unnest(l) as piece
+from (select page_id, {Q.lossless('html')} as l from pages)
+""")
 def t7_split_pages(spark, sf):
     """T7 pieces of the symbol-heavy web pages, one row per piece."""
     p = read_table(spark, sf, "pages")

@@ -1,5 +1,5 @@
-"""Registered queries for vocabulary training (V1, V3, V4, V6, V8) and
-the small trained model other queries reuse.
+"""Registered queries for vocabulary training (V1-V8), saved tokenizers
+(S3, S4) and the trained model other queries use.
 
 The oracle for training is "SQL-k": DuckDB replays k rounds of
 count-pairs / pick-best / replace on the same word table.
@@ -7,38 +7,45 @@ count-pairs / pick-best / replace on the same word table.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
 
 from pyspark.sql import functions as F
 
-from tokenmill.constants import FIRST_MERGE_ID, SPECIAL_TOKENS_19
+from tokenmill.constants import FIRST_MERGE_ID, SPECIAL_TOKENS_19, SPECIAL_TOKENS_25
+from tokenmill.functions.text import pair_repr, split_lossless
 from tokenmill.operators.stats import word_freq
-from tokenmill.operators.train import BpeModel, base_vocab, train_bpe
+from tokenmill.operators.train import BpeModel, base_vocab, train_bpe, words_to_symbols
 from tokenmill.plans import sqlparts as Q
 from tokenmill.plans.catalog import register
+from tokenmill.session import ensure_checkpoint_dir
 from tokenmill.sources.corpus import read_table
+from tokenmill.sources.tokenizer_io import read_tokenizer, read_tokenizer_tables, tokenizer_exists, write_tokenizer
 
-SQL_K = 8          # merges the oracle replays
-SMALL_VOCAB = FIRST_MERGE_ID + SQL_K
+TRAIN_K = 64       # merges of the registered exact training
+MODEL_K = 32       # merges of the model that encode, window and statistics queries use
+SMALL_VOCAB = FIRST_MERGE_ID + MODEL_K
+FIRST_ID_25 = len(SPECIAL_TOKENS_25) + 256
 
 
-def merges_sql(words_sql: str, k: int, first_id: int = FIRST_MERGE_ID,
-               preset_cte: str | None = None, preset_k: int = 0, prefix: str = "") -> tuple[str, str]:
+def merges_sql(words_sql: str, k: int, first_id: int = FIRST_MERGE_ID, preset_cte: str | None = None,
+               preset_k: int = 0, prefix: str = "", offset: int = 19) -> tuple[str, str]:
     """CTE text for k training rounds over ``words_sql`` (columns word, n).
 
     Words are strings ``<id><id>...``; a merge is a ``replace`` of
     ``<a><b>`` by ``<n>``. The ``preset_k`` merges of the CTE ``preset_cte``
     (columns rank, left, right, new_id) are applied first, in rank order.
-    Returns (ctes, name of the merges CTE).
+    Returns (ctes, name of the merges CTE); the words after all merges are in
+    the CTE ``<prefix>done`` (columns word, n, s).
     """
     x = prefix
     ctes = [f"{x}w as materialized ({words_sql})",
-            f"{x}r0 as materialized (select n, '<' || array_to_string({Q.byte_ids('word')}, '><') || '>' as s from {x}w)"]
+            f"{x}r0 as materialized (select word, n, '<' || array_to_string({Q.byte_ids('word', offset)}, '><') || '>' as s "
+            f"from {x}w)"]
     last = f"{x}r0"
     for j in range(preset_k):
         pat = f"(select '<' || \"left\" || '><' || \"right\" || '>' from {preset_cte} where rank = {j})"
         rep = f"(select '<' || new_id || '>' from {preset_cte} where rank = {j})"
-        ctes.append(f"{x}pre{j} as materialized (select n, replace(s, {pat}, {rep}) as s from {last})")
+        ctes.append(f"{x}pre{j} as materialized (select word, n, replace(s, {pat}, {rep}) as s from {last})")
         last = f"{x}pre{j}"
     sel = []
     for i in range(k):
@@ -49,25 +56,36 @@ def merges_sql(words_sql: str, k: int, first_id: int = FIRST_MERGE_ID,
             f"(select n, unnest(l[1:-2]) as a, unnest(l[2:]) as b from {x}e{i} where len(l) > 1) "
             f"group by 1, 2 having sum(n) >= 2 order by f desc, a, b limit 1)")
         ctes.append(
-            f"{x}r{i + 1}x as materialized (select n, replace(s, coalesce((select '<' || a || '><' || b || '>' "
+            f"{x}r{i + 1}x as materialized (select word, n, replace(s, coalesce((select '<' || a || '><' || b || '>' "
             f"from {x}p{i}), '<none>'), '<{first_id + i}>') as s from {cur})")
         sel.append(f"select {preset_k + i} as rank, a as \"left\", b as \"right\", {first_id + i} as new_id, "
                    f"f as freq, (select sum(n * (length(s) - length(replace(s, '<', ''))))::bigint "
                    f"from {x}r{i + 1}x) as tokens_after from {x}p{i}")
-    ctes.append(f"{x}m as (" + " union all ".join(sel) + ")")
+        last = f"{x}r{i + 1}x"
+    if sel:
+        ctes.append(f"{x}m as materialized (" + " union all ".join(sel) + ")")
+    ctes.append(f"{x}done as (select word, n, s from {last})")
     return ",\n".join(ctes), f"{x}m"
 
 
 WORDS_SQL = f"""select word, count(*)::bigint as n
   from (select unnest({Q.pretokens('text')}) as word from documents) group by word"""
-_ctes, _m = merges_sql(WORDS_SQL, SQL_K)
-TRAIN_SQL = f"with {_ctes}\nselect rank, \"left\", \"right\", new_id, freq, tokens_after from {_m}"
+MERGE_COLUMNS = "rank, \"left\", \"right\", new_id, freq, tokens_after"
+_train_ctes, _train_m = merges_sql(WORDS_SQL, TRAIN_K)
+TRAIN_SQL = f"with {_train_ctes}\nselect {MERGE_COLUMNS} from {_train_m}"
+MODEL_CTES, MODEL_M = merges_sql(WORDS_SQL, MODEL_K)
 
 
-@lru_cache(maxsize=8)
-def small_model(spark, sf: str) -> BpeModel:
-    """Exact model with ``SQL_K`` merges learned from all documents."""
-    return train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB)
+def trained_model(spark, sf: str) -> BpeModel:
+    """The exact model with ``MODEL_K`` merges of all documents. It is saved (S3)
+    in the shared folder under a fingerprint of the documents and loaded (S4)
+    by later queries of the same data, never kept in the process."""
+    docs = read_table(spark, sf, "documents")
+    n, mark = docs.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("doc_id", "text")), F.lit(0))).first()
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokenizer-{MODEL_K}-{n}-{mark & (2 ** 64 - 1):016x}"
+    if not tokenizer_exists(spark, path):
+        write_tokenizer(spark, train_bpe(word_freq(docs), SMALL_VOCAB), path, trained_on="documents")
+    return read_tokenizer(spark, path)
 
 
 @register("V1_base_vocab", "with s as (select unnest(["
@@ -82,89 +100,142 @@ def v1_base_vocab(spark, sf):
     return v.select("id", F.hex("bytes").alias("hex"), "kind")
 
 
+@register("V2_apply_merges", f"""with {MODEL_CTES}
+select word, n, replace(s[2:-2], '><', ' ') as ids from done""")
+def v2_apply_merges(spark, sf):
+    """All merges of the model applied, in rank order, to every distinct word."""
+    from tokenmill.functions.text import symbols_to_ids
+    from tokenmill.operators.train import apply_merges
+    model = trained_model(spark, sf)
+    words = word_freq(read_table(spark, sf, "documents"))
+    syms = words_to_symbols(words, keep_word=True)
+    return syms.select("word", "n", F.array_join(symbols_to_ids(
+        apply_merges(F.col("syms"), [m[:3] for m in model.merges])), " ").alias("ids"))
+
+
 @register("V3_train_exact", TRAIN_SQL)
 def v3_train(spark, sf):
-    """Exact word-level BPE on all documents, SQL_K merges: the merge log (V8)."""
-    return small_model(spark, sf).merges_df(spark)
+    """Exact word-level BPE on all documents: the merge log."""
+    return train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + TRAIN_K).merges_df(spark)
+
 
+STALE_K = 32
 
-STALE_K = 6   # stale_drop equals exact selection for the first 6 merges of these words
-_sc, _sm = merges_sql(WORDS_SQL, STALE_K)
 
+def stale_drop_sql(words_sql: str, k: int) -> str:
+    """Replay of the lazy heap: ``h`` holds its entries (l, r, f), ``c`` the current
+    counts. The best entry is the first in order whose count is current; it and
+    all before it leave; pairs whose count rose by the merge enter with it."""
+    ctes = [f"w as materialized ({words_sql})",
+            f"s0 as materialized (select n, '<' || array_to_string({Q.byte_ids('word')}, '><') || '>' as s from w)"]
 
-@register("V4_train_stale_drop", f"with {_sc}\nselect rank, \"left\", \"right\", new_id, freq, tokens_after from {_sm}")
+    def count(i: int) -> str:
+        return (f"c{i} as materialized (select a::int as l, b::int as r, sum(n)::bigint as f from "
+                f"(select n, unnest(x[1:-2]) as a, unnest(x[2:]) as b from "
+                f"(select n, string_split(s[2:-2], '><') as x from s{i}) where len(x) > 1) group by 1, 2)")
+
+    ctes += [count(0), "h0 as materialized (select * from c0 where f >= 2)"]
+    sel = []
+    for i in range(k):
+        new = FIRST_MERGE_ID + i
+        ctes.append(f"b{i} as materialized (select h.* from h{i} h join c{i} c using (l, r, f) "
+                    f"where f >= 2 order by f desc, l, r limit 1)")
+        ctes.append(f"s{i + 1} as materialized (select n, replace(s, coalesce((select '<' || l || '><' || r || '>' "
+                    f"from b{i}), '<none>'), '<{new}>') as s from s{i})")
+        ctes.append(count(i + 1))
+        ctes.append(f"h{i + 1} as materialized (select h.* from h{i} h, b{i} b where (-h.f, h.l, h.r) > (-b.f, b.l, b.r) "
+                    f"union select a.* from c{i + 1} a left join c{i} o on a.l = o.l and a.r = o.r "
+                    f"where a.f > coalesce(o.f, 0))")
+        sel.append(f"select {i} as rank, l as \"left\", r as \"right\", {new} as new_id, f as freq, (select "
+                   f"sum(n * (length(s) - length(replace(s, '<', ''))))::bigint from s{i + 1}) as tokens_after from b{i}")
+    return "with " + ",\n".join(ctes) + "\n" + " union all ".join(sel)
+
+
+@register("V4_train_stale_drop", stale_drop_sql(WORDS_SQL, STALE_K))
 def v4_train_stale_drop(spark, sf):
-    """The lazy-heap selection of the reference trainer (first merges)."""
+    """The lazy-heap selection of the reference trainer; it parts from exact selection after six merges."""
     m = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + STALE_K,
                   selection="stale_drop")
     return m.merges_df(spark)
 
 
-@register("V8_merge_log_printable")
+@register("V8_merge_log_printable", f"""with recursive {MODEL_CTES},
+parts(id, rest) as (select new_id, '<' || "left" || '><' || "right" || '>' from {MODEL_M}
+  union all select p.id, replace(p.rest, '<' || m.new_id || '>', '<' || m."left" || '><' || m."right" || '>')
+  from parts p join {MODEL_M} m on m.new_id = (select max(y::int) from unnest(string_split(p.rest[2:-2], '><')) u(y))),
+leaf as (select id, rest from parts
+  where list_max(list_transform(string_split(rest[2:-2], '><'), lambda x: x::int)) < {FIRST_MERGE_ID}),
+bytes as (select id, array_to_string(list_transform(string_split(rest[2:-2], '><'),
+            lambda x: lpad(to_hex(x::int - 19), 2, '0')), '') as h from leaf
+          union all select 19 + range::int, lpad(to_hex(range), 2, '0') from range(256))
+select {MERGE_COLUMNS}, upper(l.h) as left_hex, upper(r.h) as right_hex
+from {MODEL_M} join bytes l on l.id = "left" join bytes r on r.id = "right" """)
 def v8_merge_log(spark, sf):
-    """Merge log with the printable form of each pair."""
-    from tokenmill.functions.text import pair_repr
-    m = small_model(spark, sf)
-    merges = m.merges_df(spark)
+    """Merge log with the bytes of each pair."""
+    m = train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB)
+    return _with_bytes(spark, m).select("rank", "left", "right", "new_id", "freq", "tokens_after",
+                                        F.hex("lb").alias("left_hex"), F.hex("rb").alias("right_hex"))
+
+
+def _with_bytes(spark, m: BpeModel):
     vocab = m.vocab_df(spark).select("id", "bytes")
     lv = vocab.select(F.col("id").alias("left"), F.col("bytes").alias("lb"))
     rv = vocab.select(F.col("id").alias("right"), F.col("bytes").alias("rb"))
     # the vocabulary has at most vocab_size rows: a bounded broadcast side
-    out = merges.join(F.broadcast(lv), "left").join(F.broadcast(rv), "right")
-    return out.select("rank", "left", "right", "new_id", "freq", "tokens_after",
-                      pair_repr("lb", "rb").alias("pair"))
+    return m.merges_df(spark).join(F.broadcast(lv), "left").join(F.broadcast(rv), "right")
+
 
+@register("T9_pair_repr")
+def t9_pair_repr(spark, sf):
+    """Printable form of the pair of every merge (held against Python's repr in the tests)."""
+    return _with_bytes(spark, trained_model(spark, sf)).select("rank", pair_repr("lb", "rb").alias("pair"))
 
-HALF = SQL_K // 2
-_d, _dm = merges_sql(WORDS_SQL, HALF, prefix="d_")
+
+EXTEND_K = 32
+_d, _dm = merges_sql(WORDS_SQL, EXTEND_K, prefix="d_")
 BENCH_WORDS_SQL = f"""select word, count(*)::bigint as n
   from (select unnest({Q.pretokens('text')}) as word from benchmark) group by word"""
-_b, _bm = merges_sql(BENCH_WORDS_SQL, SQL_K - HALF, first_id=FIRST_MERGE_ID + HALF,
-                     preset_cte=_dm, preset_k=HALF, prefix="b_")
-EXTEND_SQL = (f"with {_d},\n{_b}\nselect rank, \"left\", \"right\", new_id, freq, tokens_after from {_dm} "
-              f"union all select rank, \"left\", \"right\", new_id, freq, tokens_after from {_bm}")
+_b, _bm = merges_sql(BENCH_WORDS_SQL, EXTEND_K, first_id=FIRST_MERGE_ID + EXTEND_K,
+                     preset_cte=_dm, preset_k=EXTEND_K, prefix="b_")
+EXTEND_SQL = f"with {_d},\n{_b}\nselect {MERGE_COLUMNS} from {_dm} union all select {MERGE_COLUMNS} from {_bm}"
 
 
 @register("V6_extend_vocab", EXTEND_SQL)
 def v6_extend(spark, sf):
-    """Learn half the merges on documents, then continue on the benchmark
-    texts (earlier merges applied to the new words first)."""
-    first = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + HALF)
-    more = train_bpe(word_freq(read_table(spark, sf, "benchmark")), SMALL_VOCAB, base_model=first)
+    """Learn merges on documents, then as many more on the benchmark texts
+    (earlier merges applied to the new words first)."""
+    first = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + EXTEND_K)
+    more = train_bpe(word_freq(read_table(spark, sf, "benchmark")), FIRST_MERGE_ID + 2 * EXTEND_K, base_model=first)
     return more.merges_df(spark)
 
 
 def _scratch(spark, name: str) -> str:
     """A fresh folder under the session's (shared) checkpoint folder."""
-    import uuid
-    from tokenmill.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-@register("S4_tokenizer_roundtrip_merges", f"with {_ctes}\nselect rank, \"left\", \"right\", new_id from {_m}")
+@register("S4_tokenizer_roundtrip_merges", f"with {MODEL_CTES}\nselect rank, \"left\", \"right\", new_id from {MODEL_M}")
 def s4_roundtrip(spark, sf):
-    """Save the small model (S3), load it back (S4): the merges survive."""
-    from tokenmill.sources.tokenizer_io import read_tokenizer_tables, write_tokenizer
+    """Train, save (S3), load (S4): the merges survive."""
     path = _scratch(spark, "tokenizer")
-    write_tokenizer(spark, small_model(spark, sf), path, trained_on="documents")
+    write_tokenizer(spark, train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB), path, "documents")
     _vocab, merges = read_tokenizer_tables(spark, path)
     return merges.select(F.col("rank").cast("int").alias("rank"), "left", "right", "new_id")
 
 
-@register("S4_tokenizer_roundtrip_vocab", f"""with {_ctes}
-select (275 + count(*))::bigint as vocab_size, 19::bigint as n_special, (275 + count(*))::bigint as entries from {_m}""")
+@register("S4_tokenizer_roundtrip_vocab", f"""with {MODEL_CTES}
+select (275 + count(*))::bigint as vocab_size, 19::bigint as n_special, (275 + count(*))::bigint as entries from {MODEL_M}""")
 def s4_roundtrip_vocab(spark, sf):
-    from tokenmill.sources.tokenizer_io import read_tokenizer_tables, write_tokenizer
     path = _scratch(spark, "tokenizer")
-    write_tokenizer(spark, small_model(spark, sf), path, trained_on="documents")
+    write_tokenizer(spark, train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB), path, "documents")
     vocab, _ = read_tokenizer_tables(spark, path)
     return vocab.agg((F.max("id") + 1).cast("bigint").alias("vocab_size"),
                      F.count_if(F.col("kind") == "special").cast("bigint").alias("n_special"),
                      F.count(F.lit(1)).cast("bigint").alias("entries"))
 
 
-STREAM_K = 4
+STREAM_K = 16
 
 
 def _stream_sql(k: int) -> str:
@@ -193,12 +264,30 @@ def v5_train_stream(spark, sf):
     return m.merges_df(spark)
 
 
-@register("V7_train_lossless_split")
-def v7_train_lossless(spark, sf):
-    """Lossless-split words (T7, no cleaning), 25 specials, exact selection."""
-    from tokenmill.constants import SPECIAL_TOKENS_25
-    from tokenmill.functions.text import split_lossless
+LOSSLESS_WORDS_SQL = f"""select word, count(*)::bigint as n
+  from (select unnest({Q.lossless('text')}) as word from documents) group by word"""
+LOSSLESS_CTES, LOSSLESS_M = merges_sql(LOSSLESS_WORDS_SQL, MODEL_K, first_id=FIRST_ID_25, prefix="g_",
+                                       offset=len(SPECIAL_TOKENS_25))
+
+
+def train_lossless(spark, sf) -> BpeModel:
     docs = read_table(spark, sf, "documents")
     words = docs.select(F.explode(split_lossless("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    m = train_bpe(words, len(SPECIAL_TOKENS_25) + 256 + SQL_K, specials=list(SPECIAL_TOKENS_25))
-    return m.merges_df(spark)
+    return train_bpe(words, FIRST_ID_25 + MODEL_K, specials=list(SPECIAL_TOKENS_25))
+
+
+@register("V7_train_lossless_split", f"with {LOSSLESS_CTES}\nselect {MERGE_COLUMNS} from {LOSSLESS_M}")
+def v7_train_lossless(spark, sf):
+    """Lossless-split words (T7, no cleaning), 25 specials, exact selection."""
+    return train_lossless(spark, sf).merges_df(spark)
+
+
+@register("S4_roundtrip_25_specials", f"""with {LOSSLESS_CTES}
+select rank, "left", "right", new_id, 25 as byte_offset, 25 as n_special from {LOSSLESS_M}""")
+def s4_roundtrip_25(spark, sf):
+    """A tokenizer with 25 specials saved and loaded: merges, byte offset and specials survive."""
+    path = _scratch(spark, "tokenizer")
+    write_tokenizer(spark, train_lossless(spark, sf), path, "documents")
+    m = read_tokenizer(spark, path)
+    return m.merges_df(spark).select("rank", "left", "right", "new_id", F.lit(m.byte_offset).alias("byte_offset"),
+                                     F.lit(len(m.specials)).alias("n_special"))

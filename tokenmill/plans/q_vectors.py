@@ -1,9 +1,9 @@
 """Registered queries for embedding-table jobs (M2-M6).
 
 Fixtures: ``embeddings.vec_id`` is the token id; positions for the
-rotary job are ``vec_id % 32``; conversation turns take the vector
-``(conv_id * 31 + turn) % 500``. Vectors are compared one dimension per
-row, rounded to 6 decimals.
+rotary job are the places in the sequence; a conversation turn takes the
+vector ``(conv_id * 31 + turn)`` modulo the number of vectors. Vectors are
+compared one dimension per row, rounded to 6 decimals.
 """
 
 from __future__ import annotations
@@ -23,22 +23,46 @@ def _per_dim(df, key_cols, arr):
         .select(*key_cols, "dim", F.round("value", 6).alias("value"))
 
 
-@register("M2_embed_tokens", f"""
-with t as (select item_id, {Q.byte_ids("array_to_string(" + Q.pretokens('text') + ", '')")} as l from benchmark),
-u as (select item_id, generate_subscripts(l, 1) - 1 as pos, unnest(l) as token_id from t)
+_SEQUENCES_SQL = f"""
+t as (select item_id, {Q.byte_ids("array_to_string(" + Q.pretokens('text') + ", '')")} as l from benchmark),
+u as (select item_id, generate_subscripts(l, 1) - 1 as pos, unnest(l) as token_id from t)"""
+
+
+@register("M2_embed_tokens", f"""with {_SEQUENCES_SQL}
 select item_id, pos::int as pos, token_id::int as token_id,
-       round(e.embedding[1]::double, 6) as v0, round(e.embedding[2]::double, 6) as v1,
-       round(e.embedding[64]::double, 6) as v63
+       array_to_string(list_transform(e.embedding, lambda x: round(x::double * 1000000)::bigint), ' ') as vec
 from u left join embeddings e on e.vec_id = u.token_id
 """)
 def m2_embed(spark, sf):
-    """Byte-level ids of the benchmark texts looked up in the embedding table."""
-    b = read_table(spark, sf, "benchmark")
-    toks = b.select("item_id", word_ids(F.array_join(pre_tokenize("text"), "")).alias("ids"))
-    table = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("token_id"), F.col("embedding").alias("vec"))
-    e = embed_tokens(toks, table, "ids", key="item_id")
-    v = lambda i: F.round(F.element_at("vec", i).cast("double"), 6)
-    return e.select("item_id", "pos", "token_id", v(1).alias("v0"), v(2).alias("v1"), v(64).alias("v63"))
+    """Byte-level ids of the benchmark texts looked up in the embedding table, whole vectors (in millionths)."""
+    e = embed_tokens(_sequences(spark, sf), _table(spark, sf), "ids", key="item_id")
+    whole = F.transform("vec", lambda x: F.round(x.cast("double") * 1000000).cast("bigint"))
+    return e.select("item_id", "pos", "token_id", F.array_join(whole, " ").alias("vec"))
+
+
+def _sequences(spark, sf):
+    return read_table(spark, sf, "benchmark").select(
+        "item_id", word_ids(F.array_join(pre_tokenize("text"), "")).alias("ids"))
+
+
+def _table(spark, sf):
+    return read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("token_id"), F.col("embedding").alias("vec"))
+
+
+@register("M3_embed_rotary", f"""with {_SEQUENCES_SQL},
+x as (select item_id, pos, embedding as v, len(embedding) as n, generate_subscripts(embedding, 1) - 1 as d,
+             unnest(embedding)::double as x from u join embeddings e on e.vec_id = u.token_id),
+y as (select item_id, pos, x * cos(pos * pow(10000.0, -2.0 * (d % (n // 2)) / n))
+        + (case when d < n // 2 then -v[d + n // 2 + 1]::double else v[d - n // 2 + 1]::double end)
+          * sin(pos * pow(10000.0, -2.0 * (d % (n // 2)) / n)) as value from x)
+select item_id, pos::int as pos, round(sum(value), 6) as total, round(sum(value * value), 6) as square from y group by 1, 2
+""")
+def m3_embed_rotary(spark, sf):
+    """Lookup, then rotary by the place in the sequence: sum and squared norm of every vector."""
+    e = embed_tokens(_sequences(spark, sf), _table(spark, sf), "ids", key="item_id").filter(F.col("vec").isNotNull())
+    r = e.select("item_id", "pos", rotary("vec", F.col("pos")).alias("v"))
+    add = lambda f: F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + f(x)), 6)
+    return r.select("item_id", "pos", add(lambda x: x).alias("total"), add(lambda x: x * x).alias("square"))
 
 
 @register("M3_rotary", """
@@ -66,23 +90,24 @@ def m4_rms(spark, sf):
 
 
 @register("M5_softmax_array", """
-with e as (select vec_id, list_transform(embedding[1:10], lambda x: x::double) as v from embeddings),
+with e as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings),
 s as (select vec_id, list_transform(v, lambda x: exp(x - list_max(v))) as ex from e)
 select vec_id, (generate_subscripts(ex, 1) - 1)::int as dim, round(unnest(ex) / list_sum(ex), 6) as value from s
 """)
 def m5_softmax_array(spark, sf):
     e = read_table(spark, sf, "embeddings")
-    return _per_dim(e, ["vec_id"], softmax(F.slice("embedding", 1, 10)))
+    return _per_dim(e, ["vec_id"], softmax("embedding"))
 
 
 CONV_VECS_SQL = """select c.conv_id, c.turn, list_transform(e.embedding, lambda x: x::double) as v
-  from conversations c join embeddings e on e.vec_id = (c.conv_id * 31 + c.turn) % 500"""
+  from conversations c join embeddings e on e.vec_id = (c.conv_id * 31 + c.turn) % (select count(*) from embeddings)"""
 
 
 def _conv_vecs(spark, sf):
-    c = read_table(spark, sf, "conversations").select("conv_id", "turn",
-                                                      ((F.col("conv_id") * 31 + F.col("turn")) % 500).alias("k"))
     e = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("v"))
+    n = e.agg(F.count(F.lit(1))).scalar()
+    c = read_table(spark, sf, "conversations").select("conv_id", "turn",
+                                                      F.pmod(F.col("conv_id") * 31 + F.col("turn"), n).alias("k"))
     return c.join(e, "k").select("conv_id", "turn", "v")
 
 

@@ -39,10 +39,30 @@ def compose(title: str, text: str) -> str:
     return f"(case when {t} <> '' then {t} || chr(10) || chr(10) || {x} else {x} end)"
 
 
-def byte_ids(expr: str) -> str:
-    """List of 19 + byte over the UTF-8 bytes of a string."""
+def byte_ids(expr: str, offset: int = 19) -> str:
+    """List of offset + byte over the UTF-8 bytes of a string."""
     return (f"list_transform(regexp_extract_all(hex(encode({expr})), '..'), "
-            f"lambda x: 19 + ('0x' || x)::int)")
+            f"lambda x: {offset} + ('0x' || x)::int)")
+
+
+# T7 without look-ahead: a run of white space before other text ends one
+# character earlier, so a mark (a noncharacter) is put before the last
+# character of every such run without line ends; the mark belongs to no class
+# below and so ends the run, and is in no piece.
+_WS = RE2_WS[1:-1]
+_BLANK = _WS.replace(r"\s", r"\t\f ")
+_MARK = r"\x{fdd0}"
+RE2_LOSSLESS = (r"(?i:''s|''t|''re|''ve|''m|''ll|''d)"
+                rf"|[^\r\n\p{{L}}\p{{N}}{_MARK}]?\p{{L}}+|\p{{N}}{{1,3}}"
+                rf"| ?[^{_WS}\p{{L}}\p{{N}}{_MARK}]+[\r\n]*"
+                rf"|[{_WS}]*[\r\n]+|[{_WS}]+")
+
+
+def lossless(expr: str) -> str:
+    """List of T7 pieces of a raw text column."""
+    marked = (f"regexp_replace(coalesce({expr}, ''), '([{_BLANK}]+)([{_BLANK}][^{_WS}])', "
+              f"'\\1' || chr(64976) || '\\2', 'g')")
+    return f"regexp_extract_all({marked}, '{RE2_LOSSLESS}')"
 
 
 TRAINING_DOCS = (
