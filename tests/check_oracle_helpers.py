@@ -1,86 +1,8 @@
-"""Run registered Spark queries and their DuckDB oracles side by side.
+"""The digest that tools/check_oracle.py compares results by."""
 
-Usage: python tools/check_oracle.py [sf_dir] [name-substring ...]
-Prints one line per query: rows, column names and an order-insensitive
-value hash for both sides.
-"""
-
-from __future__ import annotations
-
-import hashlib
-import math
+import os
 import sys
-import time
-
-import duckdb
-
-sys.path.insert(0, ".")
-
-TABLES = ("region nation customer supplier part orders lineitem events documents "
-          "embeddings pages benchmark labels conversations").split()
-
-
-def norm(v):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return repr(round(v, 6))
-    if isinstance(v, (bytes, bytearray)):
-        return bytes(v).hex()
-    if isinstance(v, (list, tuple)):
-        return "[" + ",".join(norm(x) for x in v) + "]"
-    if isinstance(v, dict):
-        return "{" + ",".join(f"{k}:{norm(x)}" for k, x in sorted(v.items())) + "}"
-    return repr(v)
-
-
-def digest(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
-    return [cols[i] for i in order], len(lines), hashlib.md5("\n".join(lines).encode()).hexdigest()
-
-
-def _main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    pats = sys.argv[2:]
-    import __spark_entry__ as E
-    from tokenmill.session import get_spark
-    spark = get_spark("local[8]", shuffle_partitions=8)
-    qs, sqls = E.queries(), E.oracle_sql()
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
-    bad = 0
-    for name, fn in qs.items():
-        if pats and not any(p in name for p in pats):
-            continue
-        t0 = time.time()
-        try:
-            df = fn(spark, sf)
-            rows = [tuple(r) for r in df.collect()]
-            s = digest(df.columns, rows)
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL-SPARK {name}: {str(e)[:2000]}")
-            bad += 1
-            continue
-        ts = time.time() - t0
-        if name not in sqls:
-            print(f"ROWS-ONLY  {name}: rows={s[1]} cols={s[0]} ({ts:.1f}s)")
-            continue
-        try:
-            res = con.execute(sqls[name])
-            cols = [d[0] for d in res.description]
-            o = digest(cols, res.fetchall())
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL-SQL   {name}: {str(e)[:2000]}")
-            bad += 1
-            continue
-        ok = s == o
-        bad += not ok
-        print(f"{'OK   ' if ok else 'DIFF '}      {name}: spark rows={s[1]} sql rows={o[1]} "
-              f"cols={s[0] if ok else (s[0], o[0])} ({ts:.1f}s)")
-    print("mismatches:", bad)
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-if False:
-    main()
+from check_oracle import digest  # noqa: E402, F401

@@ -17,3 +17,12 @@ def test_decode_table_is_one_constant(spark):
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" not in opt          # the vocabulary array was folded at planning time
     assert df.first()["t"] == "abc"
+
+
+def test_stream_pairs_hash_before_they_sort(spark):
+    """Byte pairs are combined in hash maps; only the table of pairs per document is sorted."""
+    from tokenmill.operators.stats import stream_pair_freq
+    df = spark.range(4).selectExpr("id as doc_id", "'some text' as text")
+    plan = stream_pair_freq(df)._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.split("\n") if "Aggregate" in x]
+    assert "HashAggregate" in lines[-1] and "HashAggregate" in lines[-2]

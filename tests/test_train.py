@@ -82,6 +82,14 @@ def test_extend_vocabulary(spark):
     assert more.merges[5:] == want
 
 
+def test_extend_a_vocabulary_of_2000_merges(spark):
+    """Earlier merges are not nested expressions, so there may be thousands."""
+    base = BpeModel(merges=[(19 + k % 256, 19 + k // 256, 275 + k, 2, 0) for k in range(2000)])
+    more = train_bpe(words_df(spark, {"\x00\x00xy": 3, "xyz": 2}), 275 + 2002, base_model=base)
+    assert more.merges[:2000] == base.merges
+    assert [m[:4] for m in more.merges[2000:]] == [(19 + 120, 19 + 121, 2275, 5), (275, 2275, 2276, 3)]
+
+
 def test_model_vocab(spark):
     m = BpeModel(merges=[(19 + 97, 19 + 98, 275, 3, 0)])
     v = {r["id"]: (bytes(r["bytes"]), r["kind"]) for r in m.vocab_df(spark).collect()}

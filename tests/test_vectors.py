@@ -44,13 +44,14 @@ def test_causal_history_matches_numpy(spark):
         for t in range(n):
             rows.append((e, t * 3, [rnd.uniform(-1, 1) for _ in range(6)]))
     df = spark.createDataFrame(rows, "e int, t int, v array<double>")
-    got = {(r["e"], r["t"]): r["out"] for r in causal_history(df, "e", "t", "v", block=4).collect()}
-    assert len(got) == len(rows)
-    for e in (1, 2, 3):
-        seq = sorted((t, v) for ee, t, v in rows if ee == e)
-        x = np.array([v for _, v in seq])
-        for i, (t, _) in enumerate(seq):
-            s = x[: i + 1] @ x[i] / math.sqrt(6)
-            w = np.exp(s - s.max())
-            want = (w / w.sum()) @ x[: i + 1]
-            assert np.allclose(got[(e, t)], want)
+    for back in (None, 1, 6):
+        got = {(r["e"], r["t"]): r["out"] for r in causal_history(df, "e", "t", "v", block=4, look_back=back).collect()}
+        assert len(got) == len(rows)
+        for e in (1, 2, 3):
+            seq = sorted((t, v) for ee, t, v in rows if ee == e)
+            x = np.array([v for _, v in seq])
+            for i, (t, _) in enumerate(seq):
+                lo = 0 if back is None else max(0, i + 1 - back)
+                s = x[lo: i + 1] @ x[i] / math.sqrt(6)
+                w = np.exp(s - s.max())
+                assert np.allclose(got[(e, t)], (w / w.sum()) @ x[lo: i + 1])
