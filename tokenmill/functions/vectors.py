@@ -17,11 +17,6 @@ def as_double(vec) -> Column:
     return F.transform(col_of(vec), lambda x: x.cast("double"))
 
 
-def dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(as_double(a), as_double(b), lambda x, y: x * y),
-                       F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
 def rotary(vec, pos, theta: float = ROPE_THETA, offset: int = 0) -> Column:
     """M3: rotary position: ``x * cos(p f) + rot(x) * sin(p f)`` with
     ``f_d = theta ** (-2 (d mod D/2) / D)`` and ``rot(x) = (-x2, x1)``."""
