@@ -17,10 +17,10 @@ groups that can hold equal windows, and each group is sorted by itself.
    shares ``LENGTH`` bytes is the earlier match of the longest-previous-factor
    array, the neighbouring larger one the later match.
 4. An anchor with more blocks (a passage that a large part of all documents
-   share, in ever new surroundings) is not gathered: each of its windows is
-   one row with a 128-bit hash, matched by a grouped count. That is exact as
-   well, grows in proportion to the text concerned, and splits over any number
-   of tasks.
+   share, in ever new surroundings) is not gathered: runs of its windows, then
+   single windows of the runs that this leaves open, are rows with 128-bit
+   hashes, matched by grouped counts. That is exact as well, grows in
+   proportion to the text concerned, and splits over any number of tasks.
 5. Matched windows become byte spans per document and are cut out.
 
 ``keep="first"`` removes later copies and keeps the first (order: document
@@ -49,6 +49,7 @@ from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_byte
 LENGTH = 400
 GRAM = 64
 GROUP = 200                 # blocks of one anchor that are sorted together
+STEP = 16                   # windows in a run, where blocks are too many for that
 SLICE = 1 << 20             # bytes worked on at once
 _U = np.uint64
 _PLACE = (1 << 24) - 1      # low bits of a sort key that hold a place within a slice
@@ -283,27 +284,75 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "first", i
                .repartition("anchor").sortWithinPartitions("anchor")
                .mapInArrow(_group_matcher(length, keep), "doc_id bigint, f bigint, t bigint"))
 
+    crowd = _crowd_spans(fetched.filter(F.col("blocks") > GROUP).dropDuplicates(["doc_id", "s"])
+                         .select("doc_id", "s", "block"), length, keep)
+    spans = whole.unionByName(inner).unionByName(grouped).unionByName(crowd)
+    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("f", "t")).alias("spans"))
+
+
+def _halves(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+
+
+def block_ranges(block: bytes, length: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Windows of a block in runs of STEP, counted from the block's anchor so that
+    runs of blocks with one anchor agree: ``(first, last, hash of all bytes of the
+    run, hash of the bytes that every window of a whole run has)``."""
+    (anchor,), _ = window_anchors(np.frombuffer(block[:length], np.uint8), length)
+    anchor, k = int(anchor), len(block) - length + 1
+    for c in range(anchor % STEP - STEP, k, STEP):
+        first, last = max(0, c), min(k, c + STEP) - 1
+        if first <= last:
+            yield (first, last, xxhash.xxh3_128_digest(block[first:last + length]),
+                   xxhash.xxh3_128_digest(block[c + STEP - 1:c + length]))
+
+
+def _crowd_spans(blocks: DataFrame, length: int, keep: str) -> DataFrame:
+    """Spans of matched windows of blocks ``(doc_id, s, block)`` that are too many
+    to be gathered, by grouped counts of hashes only. A run of windows whose bytes
+    occur again is settled, and so is one whose common bytes do not; windows of the
+    runs between are looked up one by one, together with one copy of each settled
+    run, which may be their match."""
+
+    def ranges(b: pa.RecordBatch) -> dict:
+        out = defaultdict(list)
+        for d, s, block in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for first, last, whole, core in block_ranges(block, length):
+                for k, v in zip(("doc_id", "s", "a", "z", "whole", "core"), (d, s, s + first, s + last, whole, core)):
+                    out[k].append(v)
+        w, c = _halves(out["whole"]), _halves(out["core"])
+        return {k: pa.array(out[k], pa.int64()) for k in ("doc_id", "s", "a", "z")} | {
+            "w1": w[:, 0].copy(), "w2": w[:, 1].copy(), "c1": c[:, 0].copy(), "c2": c[:, 1].copy()}
+
+    runs = cut_lineage(map_batches(blocks, ranges, "doc_id bigint, s bigint, a bigint, z bigint, w1 bigint, w2 bigint, "
+                                                   "c1 bigint, c2 bigint"))
+    at = F.struct("doc_id", "a")
+    wholes = runs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("low"))
+    cores = runs.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    known = cut_lineage(runs.join(cores, ["c1", "c2"]).join(wholes, ["w1", "w2"])
+                        .select("doc_id", "s", "a", "z", "n", (at == F.col("low")).alias("is_low")))
+    settled = known.filter("n > 1" if keep == "none" else "n > 1 and not is_low").select(
+        "doc_id", F.col("a").alias("f"), (F.col("z") + length).alias("t"))
+    asked = known.filter("is_low").groupBy("doc_id", "s").agg(F.collect_list(F.struct("a", "z")).alias("asked"))
+
     def windows(b: pa.RecordBatch) -> dict:
         doc, place, w = [], [], []
-        for d, s, block in zip(*(b.column(i).to_pylist() for i in range(3))):
-            k = len(block) - length + 1
-            doc.append(np.full(k, d, np.int64))
-            place.append(np.arange(s, s + k))
-            w.extend(xxhash.xxh3_128_digest(block[i:i + length]) for i in range(k))
-        h = np.frombuffer(b"".join(w), np.int64).reshape(-1, 2)
+        for d, s, block, ask in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for r in ask:
+                doc.append(np.full(r["z"] - r["a"] + 1, d, np.int64))
+                place.append(np.arange(r["a"], r["z"] + 1))
+                w.extend(xxhash.xxh3_128_digest(block[i:i + length]) for i in range(r["a"] - s, r["z"] - s + 1))
+        h = _halves(w)
         return {"doc_id": np.concatenate(doc), "place": np.concatenate(place), "w1": h[:, 0].copy(), "w2": h[:, 1].copy()}
 
-    single = map_batches(fetched.filter(F.col("blocks") > GROUP).dropDuplicates(["doc_id", "s"])
-                         .select("doc_id", "s", "block"), windows,
+    single = map_batches(blocks.join(asked, ["doc_id", "s"]).select("doc_id", "s", "block", "asked"), windows,
                          "doc_id bigint, place bigint, w1 bigint, w2 bigint")
     agreed = single.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("low")) \
         .filter("n > 1")
     found = single.join(agreed, ["w1", "w2"])
     if keep == "first":
         found = found.filter(F.struct("doc_id", "place") != F.col("low"))
-    crowd = found.select("doc_id", F.col("place").alias("f"), (F.col("place") + length).alias("t"))
-    spans = whole.unionByName(inner).unionByName(grouped).unionByName(crowd)
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("f", "t")).alias("spans"))
+    return settled.unionByName(found.select("doc_id", F.col("place").alias("f"), (F.col("place") + length).alias("t")))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
