@@ -44,10 +44,11 @@ class ByteBpe:
         ranks = read_ranks(data)
         self.ranks = {t.decode("latin-1"): r for t, r in ranks.items()}
         self.text_of = {r: t for t, r in self.ranks.items()}
-        self.longest = max(map(len, self.ranks))
         self.trie = ahocorasick.Automaton()
         for t, r in self.ranks.items():
-            self.trie.add_word(t, r)
+            self.trie.add_word(t, (len(t) - 1, r))
+        self.trie.make_automaton()
+        self.shorter_memo: dict[int, int] = {}
         self.split = regex.compile(pattern)
         self.fits_memo: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
@@ -56,7 +57,7 @@ class ByteBpe:
         lengths = np.zeros(size, np.int64)
         for r, t in self.text_of.items():
             lengths[r] = len(t)
-        self.lengths = lengths
+        self.lengths, self.size = lengths, lengths.tolist()
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
         self.bytes = np.frombuffer("".join(self.text_of.get(i, "") for i in range(size)).encode("latin-1"), np.uint8)
 
@@ -82,42 +83,46 @@ class ByteBpe:
             self.fits_memo[a, b] = got
         return got
 
-    def longest_at(self, s: str, at: int, most: int) -> int:
-        """Length of the longest token at ``at`` of at most ``most`` characters (0: none)."""
-        head = s[at:at + most]
-        n = self.trie.longest_prefix(head)
-        ranks = self.ranks
-        while n and head[:n] not in ranks:
-            n -= 1
-        return n
+    def shorter(self, token: int) -> int:
+        """The longest token that is a proper prefix of the token (-1: none)."""
+        got = self.shorter_memo.get(token)
+        if got is None:
+            t = self.text_of[token]
+            n = len(t) - 1
+            while n and t[:n] not in self.ranks:
+                n -= 1
+            got = self.shorter_memo[token] = self.ranks[t[:n]] if n else -1
+        return got
 
     def encode_piece(self, s: str) -> tuple[int, ...]:
         """Tokens of one piece given as Latin-1 characters."""
         whole = self.ranks.get(s)
         if whole is not None:
             return (whole,)
-        ranks, fits, dead = self.ranks, self.fits, set()
+        longest = [0] * len(s)
+        for end, (back, token) in self.trie.iter(s):   # longer matches of a place come later
+            longest[end - back] = token
+        lengths, memo, fits, dead = self.size, self.fits_memo, self.fits, set()
         out: list[int] = []
-        ends = [0]
-        n, at, length = len(s), 0, self.longest_at(s, 0, self.longest)
+        n, at, last, token = len(s), 0, -1, longest[0]
         while at < n:
-            while length:
-                token = ranks[s[at:at + length]]
-                if at + length not in dead and (not out or fits(out[-1], token)):
-                    break
-                length = self.longest_at(s, at, length - 1) if length > 1 else 0
-            if length:
+            while token >= 0:
+                to = at + lengths[token]
+                if to not in dead:
+                    ok = True if last < 0 else memo.get((last, token))
+                    if fits(last, token) if ok is None else ok:
+                        break
+                token = self.shorter(token)
+            if token >= 0:
                 out.append(token)
-                at += length
-                ends.append(at)
-                length = self.longest_at(s, at, self.longest)
+                at, last = to, token
+                token = longest[at] if at < n else -1
             else:                                  # nothing can start here: take one token back
                 dead.add(at)
-                out.pop()
-                ends.pop()
-                tried = at - ends[-1]
-                at = ends[-1]
-                length = self.longest_at(s, at, tried - 1) if tried > 1 else 0
+                token = out.pop()
+                at -= lengths[token]
+                last = out[-1] if out else -1
+                token = self.shorter(token)
         return tuple(out)
 
     def encode_unit(self, unit: str) -> tuple[int, ...]:
