@@ -10,13 +10,17 @@
 4. Pairs are dropped when the sizes of their sets rule the similarity out, or
    when the similarity estimated from the packed bits (XOR and bit count,
    corrected for chance agreement of ``BITS`` bits) lies ``SLACK`` below the
-   threshold, over five standard deviations.
+   threshold, over five standard deviations. A second exact bound comes with
+   it: the XOR of two parity maps shows a least number of shingles that only
+   one of the sets has.
 5. What is left is confirmed on the full shingle sets of the two texts.
 6. Connected components of the confirmed links (Spark rounds, checkpointed).
-   A second round of candidates covers what the stars of step 3 did not:
-   in buckets whose members ended in several components, every member outside
-   the first member's component is paired with all members of other
-   components; members of one component need no further links.
+   Two more rounds of candidates cover what the stars of step 3 did not, in
+   buckets whose members ended in several components: first every member
+   outside the bucket's largest component is paired with one of its members,
+   another one in each bucket; then every member still outside with all
+   members of other components. Members of one component need no further
+   links.
 
 A pair at similarity 0.8 shares no band with probability
 ``(1 - 0.8 ** ROWS) ** BANDS`` < 4e-6; nothing else loses a link.
@@ -42,6 +46,7 @@ from pyspark.sql import functions as F
 from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_bytes
 
 ROWS, BANDS, BITS = 5, 32, 2
+PARITY = 512                # parity bits of a set
 HASHES = ROWS * BANDS
 SLACK = 0.19
 CACHE_WORDS = 500_000       # per worker
@@ -123,8 +128,15 @@ def pack_bits(m: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low, axis=2).view(np.int64)
 
 
+def pack_parity(s: np.ndarray) -> np.ndarray:
+    """One bit per hash bucket, set if an odd number of the set's hashes fall into it."""
+    odd = np.bincount((s >> _U(64 - PARITY.bit_length() + 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, f1, f2, sig, bands)``; f1 and f2 identify the set."""
+    """``(doc_id, n_shingles, f1, f2, sig, bands)``; f1 and f2 identify the set, sig
+    holds the packed minima and then the parity bits."""
 
     def run(b: pa.RecordBatch) -> dict:
         if len(_hashes) > CACHE_WORDS:
@@ -137,7 +149,7 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: st
         if full:
             m = minima([sets[i] for i in full])
             for i, s, k in zip(full, pack_bits(m), band_keys(m)):
-                sig[i], bands[i] = s, k
+                sig[i], bands[i] = np.concatenate([s, pack_parity(sets[i])]), k
                 f[i] = np.frombuffer(xxhash.xxh3_128_digest(sets[i].tobytes()), np.int64)
         return {"doc_id": b.column(0), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "f1": pa.array(f[:, 0]), "f2": pa.array(f[:, 1]),
@@ -148,9 +160,21 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: st
                                        "sig array<bigint>, bands array<bigint>")
 
 
+SIGNATURE_WORDS = -(-HASHES // (64 // BITS))
+
+
+def least_difference(a: Column, b: Column) -> Column:
+    """A lower bound of the number of shingles that only one of two sets has: common
+    shingles cancel out of the XOR of the parity bits, every other one flips one bit."""
+    n = F.lit(0)
+    for w in range(SIGNATURE_WORDS, SIGNATURE_WORDS + PARITY // 64):
+        n = n + F.bit_count(a[w].bitwiseXOR(b[w]))
+    return n
+
+
 def estimate(a: Column, b: Column) -> Column:
     """Similarity from packed bits: share of equal BITS-bit groups, corrected for chance."""
-    words = -(-HASHES // (64 // BITS))
+    words = SIGNATURE_WORDS
     ones = sum(1 << (BITS * i) for i in range(64 // BITS))
     ones -= (1 << 64) if ones >> 63 else 0
     differ = None
@@ -244,39 +268,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
                .filter("n > 1"))
     members = cut_lineage(rows.join(buckets, "key").filter(F.col("id") != F.col("first")))
 
-    def plausible(pairs: DataFrame) -> DataFrame:
-        one = traits.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
-        two = traits.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
-        p = pairs.join(one, "a").join(two, "b")
-        p = p.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                     & (estimate(F.col("sa"), F.col("sb")) >= percent / 100 - SLACK))
-        return p.select("a", "b")
-
-    stars = cut_lineage(plausible(members.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()))
-    wanted = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id"))).distinct()
-    links = cut_lineage(confirm(stars, texts.join(wanted, "doc_id", "left_semi"), width, percent))
+    sa, sb = F.col("sa"), F.col("sb")
+    # similarity s or more means a difference of at most (1 - s) / (1 + s) of both sizes together
+    plausible = ((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+                 & (estimate(sa, sb) >= percent / 100 - SLACK)
+                 & (least_difference(sa, sb) * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))))
+    one = traits.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
+    two = traits.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
+    pairs = members.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    tried = cut_lineage(pairs.join(one, "a").join(two, "b").filter(plausible).select("a", "b"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+        return cut_lineage(confirm(pairs, texts.join(wanted, "doc_id", "left_semi"), width, percent))
+
+    links = confirmed(tried)
     roots = components(links)
-
-    # buckets whose members are still in several components
+    # buckets of three or more, whose members may still be in several components
     crowd = members.filter("n > 2").select("key", "id").unionByName(
         members.filter("n > 2").select("key", F.col("first").alias("id")).distinct())
-    placed = crowd.join(roots, crowd["id"] == roots["node"], "left").select(
-        "key", "id", F.coalesce("root", "id").alias("root"))
-    mixed = (placed.groupBy("key").agg(F.min("id").alias("first"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-             .filter("r0 != r1").select("key", "first"))
-    placed = cut_lineage(placed.join(mixed, "key"))
-    home = placed.filter("id = first").select("key", F.col("root").alias("home"))
-    outside = placed.join(home, "key").filter("root != home").select("key", F.col("id").alias("x"),
-                                                                     F.col("root").alias("rx"))
-    inside = placed.filter("id != first").select("key", F.col("id").alias("y"), F.col("root").alias("ry"))
-    rest = (outside.join(inside, "key").filter("rx != ry")
+    crowd = cut_lineage(crowd.join(traits, "id"))
+    for all_pairs in (False, True):
+        placed = crowd.join(roots, crowd["id"] == roots["node"], "left").select(
+            "key", "id", "n_shingles", "sig", F.coalesce("root", "id").alias("root"))
+        sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+        home = sizes.groupBy("key").agg(F.max(F.struct("c", "root")).alias("h"), F.count(F.lit(1)).alias("parts")) \
+            .filter("parts > 1").select("key", F.col("h.root").alias("home"))
+        placed = cut_lineage(placed.join(home, "key"))
+        outside = placed.filter("root != home").select(
+            "key", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
+        if all_pairs:      # every member outside the bucket's main component with all of other components
+            inside = placed.select("key", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("n_shingles").alias("nb"),
+                                   F.col("sig").alias("sb"))
+        else:              # with one member of the main component, another one in every bucket
+            pick = F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id", "root", "n_shingles", "sig")).alias("p")
+            inside = placed.filter("root = home").groupBy("key").agg(pick).select(
+                "key", F.col("p.id").alias("y"), F.col("p.root").alias("ry"), F.col("p.n_shingles").alias("nb"),
+                F.col("p.sig").alias("sb"))
+        fresh = outside.join(inside, (outside["key"] == inside["key"]) & (F.col("rx") != F.col("ry")) & plausible) \
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    rest = cut_lineage(plausible(rest))
-    if rest.take(1):
-        wanted = rest.select(F.col("a").alias("doc_id")).unionByName(rest.select(F.col("b").alias("doc_id"))).distinct()
-        more = confirm(rest, texts.join(wanted, "doc_id", "left_semi"), width, percent)
-        roots = components(links.unionByName(more))
+        fresh = cut_lineage(fresh.join(tried, ["a", "b"], "left_anti"))
+        if fresh.take(1):
+            tried = tried.unionByName(fresh)
+            links = links.unionByName(confirmed(fresh))
+            roots = components(links)
     owner = (sets.join(roots, sets["rep"] == roots["node"], "left")
              .select("f1", "f2", F.coalesce("root", "rep").alias("component_id")))
     out = sigs.select("doc_id", "n_shingles", "f1", "f2").join(owner, ["f1", "f2"], "left")
