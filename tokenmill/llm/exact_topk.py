@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 VECTORS, QUERIES = 8192, 512
 SCALE = 64
+WORTH = 0.125               # a proof is tried once the unseen norm is at most this share of the whole
 ENOUGH = 8                  # a query stops when at most ENOUGH * k vectors remain possible
 
 
@@ -44,40 +45,50 @@ def integer_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
 
 
 class ImpactIndex:
-    """Posting segments of one block of vectors, by descending impact."""
+    """Posting segments of one block of vectors, by descending impact. The segments
+    of one impact level are held side by side, a column per dimension that has any,
+    so that a level is scored for all queries by one product."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.highest = int(np.abs(vectors).max(initial=0))
         size = np.abs(vectors)
         level = np.where(size > 0, np.frexp(size.astype(np.float64))[1], 0)
-        self.segments: list[list[tuple[int, np.ndarray]]] = []
+        self.segments: list[tuple[np.ndarray, np.ndarray]] = []
         self.unseen: list[np.ndarray] = []
         square = vectors.astype(np.float64) ** 2
+        self.norm = np.sqrt(square.sum(axis=1))
         for at in sorted(set(np.unique(level).tolist()) - {0}, reverse=True):
             here = level == at
-            self.segments.append([(d, np.flatnonzero(here[:, d])) for d in np.flatnonzero(here.any(axis=0))])
+            dims = np.flatnonzero(here.any(axis=0))
+            self.segments.append((dims, np.where(here[:, dims], vectors[:, dims], 0).T))
             self.unseen.append(np.sqrt(np.where(level < at, square, 0).sum(axis=1)))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(query_id, vec_id, score)`` of each query's k best, its own id left out."""
         n = len(self.ids)
         norm = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
+        # sums of integers below 2**53 are exact in doubles
+        small = self.highest * int(np.abs(queries).max(initial=0)) * queries.shape[1] < 2 ** 53
+        kind = np.float64 if small else np.int64
         active = np.arange(len(queries))
-        acc = np.zeros((len(queries), n), np.int64)
+        acc = np.zeros((len(queries), n), kind)
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for level, (segments, unseen) in enumerate(zip(self.segments, self.unseen)):
+        for level, ((dims, postings), unseen) in enumerate(zip(self.segments, self.unseen)):
             if not len(active):
                 break
-            for d, members in segments:
-                acc[:, members] += queries[active, d][:, None] * self.vectors[members, d][None, :]
+            acc += queries[active][:, dims].astype(kind) @ postings.astype(kind)
             last = level == len(self.segments) - 1
+            if not last and unseen.max() > WORTH * self.norm.max():
+                continue                          # too much unseen for a proof to be likely
             slack = norm[active][:, None] * unseen[None, :] * (1 + 1e-9) + (0 if last else 1)
             low, high = acc - slack, acc + slack
-            own = self.ids[None, :] == query_ids[active][:, None]
-            low[own], high[own] = -np.inf, -np.inf
+            rows, own = np.nonzero(self.ids[None, :] == query_ids[active][:, None])
+            low[rows, own], high[rows, own] = -np.inf, -np.inf
             place = n - min(k, n)
             edge = np.partition(low, place, axis=1)[:, place]      # the k-th best lower bound
-            possible = (high >= edge[:, None]) & ~own
+            possible = high >= edge[:, None]
+            possible[rows, own] = False
             done = (possible.sum(axis=1) <= ENOUGH * k) | last
             for i in np.flatnonzero(done):
                 out.append(self._rescore(query_ids[active[i]], queries[active[i]], np.flatnonzero(possible[i]), k))
