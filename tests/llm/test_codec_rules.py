@@ -132,6 +132,32 @@ def test_plan_uses_exact_complements():
         assert sum(m for _, m in p.groups) <= 1.03 * sum(k * v for k, v in h.items()) / 100 + 2
 
 
+def one_by_one(lengths, capacity):
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= n]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - n)
+    return sorted(gaps)
+
+
+def test_best_fit_fills_gaps_again():
+    plan = best_fit.plan_packing({3000: 1000, 100: 5000}, 4096)
+    assert sum(m for _, m in plan.groups) == 1000
+    rng = random.Random(6)
+    for _ in range(200):
+        h = {rng.randint(1, 99): rng.randint(1, 60) for _ in range(rng.randint(1, 6))}
+        plan = best_fit.Plan()
+        best_fit._best_fit(sorted(h.items(), reverse=True), plan, 100)
+        used = Counter()
+        for g, m in plan.groups:
+            for n in g:
+                used[n] += m
+        assert used == h
+        assert sorted(100 - sum(g) for g, m in plan.groups for _ in range(m)) == one_by_one(Counter(h).elements(), 100)
+
+
 def test_urls(spark):
     urls = ["http://Example.COM/en/1", "https://www.example.com/en/2", "http://x.www.example.com/en/", "http://a.net/es/x?q",
             "http://net/fr/", "http://notnet/fr/", "http://com", "http://a.com#x", None, "", "no scheme", "http://b.org/a",

@@ -22,7 +22,7 @@ repeated rows are documents of their own; an empty table packs to nothing.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from unicodedata import is_normalized
 
@@ -237,30 +237,38 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
 
 
 def _best_fit(rest: list[tuple[int, int]], plan: Plan, capacity: int) -> None:
-    """Lengths descending; each goes to the open sequences with the smallest gap that holds it."""
+    """Lengths descending; each piece goes to the open sequence with the smallest
+    gap that holds it. That sequence's new gap, if it holds another piece of the
+    length, is then the smallest one, so it is filled before the next is looked at."""
     open_at: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
+    gaps: list[int] = []                          # keys of open_at, ascending
+
+    def put(gap: int, lengths: tuple[int, ...], times: int) -> None:
+        if gap not in open_at:
+            insort(gaps, gap)
+        open_at[gap].append((lengths, times))
+
     for n, left in rest:
-        for gap in sorted(g for g in open_at if g >= n):
-            while left and gap >= n and open_at.get(gap):
+        while left:
+            i = bisect_left(gaps, n)
+            if i < len(gaps):
+                gap = gaps[i]
                 lengths, times = open_at[gap].pop()
-                m = min(times, left)
-                if times > m:
-                    open_at[gap].append((lengths, times - m))
-                open_at[gap - n].append(((*lengths, n), m))
-                left -= m
-            if not open_at[gap]:
-                del open_at[gap]
-            if not left:
-                break
-        while left:                               # new sequences, each filled while it holds another
-            fill = capacity // n
-            whole = left // fill
+                if not open_at[gap]:
+                    del open_at[gap], gaps[i]
+            else:                                 # no open gap holds it: new sequences
+                gap, lengths, times = capacity, (), -(-left // (capacity // n))
+            fill = gap // n
+            whole = min(times, left // fill)
             if whole:
-                open_at[capacity - fill * n].append(((n,) * fill, whole))
+                put(gap - fill * n, (*lengths, *(n,) * fill), whole)
                 left -= whole * fill
-            else:
-                open_at[capacity - left * n].append(((n,) * left, 1))
-                left = 0
+                times -= whole
+            if times and left:                    # fewer than fill: the last sequence that gets any
+                put(gap - left * n, (*lengths, *(n,) * left), 1)
+                left, times = 0, times - 1
+            if times:
+                put(gap, lengths, times)
     for groups in open_at.values():
         for lengths, times in groups:
             plan.add(lengths, times)
