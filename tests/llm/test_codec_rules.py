@@ -115,6 +115,18 @@ def test_packing(spark, documents):
     assert best_fit.pack_documents(docs.limit(0), P.path("word_bpe_49k.json")).collect() == []
 
 
+def test_special_strings_are_special_tokens(spark, documents):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "Hello<|endoftext|>World.", "<|endoftext|><|startoftext|>!! x",
+             "it's<|ENDOFTEXT|>", "x\n<|endoftext|>\n\ty", "<|endoftext|", "é<|startoftext|>e\u0301 <|endoftext|>\u2003z"]
+    got = {r["doc_id"]: bytes(r["ids"]) for r in best_fit.pack_documents(documents(texts), P.path("word_bpe_49k.json")).collect()}
+    assert t.encode(texts[0], add_special_tokens=False).ids == [320, 49407, 321]
+    for i, x in enumerate(texts):
+        ids = t.encode(x, add_special_tokens=False).ids + [1]
+        assert got[i] == b"".join(v.to_bytes(4, "little") for v in ids), x
+
+
 def test_plan_uses_exact_complements():
     plan = best_fit.plan_packing({60: 2, 40: 1, 20: 2, 50: 2, 33: 1, 34: 1, 30: 1, 3: 1}, 100)
     assert sum(m for _, m in plan.groups) == 4

@@ -50,7 +50,8 @@ class WordIds(dict):
     words in this tokenizer and is dropped, so words encode one by one. It
     lower-cases, and marks after letters are tokens of their own, so most new
     words are a lower-case core of letters, which goes straight to the merge
-    model, and a tail of marks; all others take the whole tokenizer."""
+    model, and a tail of marks; all others take the whole tokenizer, so also
+    every word with a special string (marks around letters) in it."""
 
     def __init__(self, tokenizer):
         super().__init__()
@@ -112,10 +113,8 @@ def _word_ids(bc) -> WordIds:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        t = Tokenizer.from_str(bc.value)
-        t.encode_special_tokens = True
         _tokenizers.clear()
-        _tokenizers[key] = WordIds(t)
+        _tokenizers[key] = WordIds(Tokenizer.from_str(bc.value))
     return _tokenizers[key]
 
 
