@@ -81,3 +81,21 @@ def test_stages_keep_the_columns(spark, documents):
         assert out.dtypes == docs.dtypes
         assert stage(spark, docs.limit(0), "").collect() == []
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), "").collect() == []
+
+
+def test_passages_of_51_words_go(spark, documents):
+    rng = random.Random(3)
+    vocab = ["over", "bridge", "river", "spring", "garden", "after", "winter", "stone", "market", "house"]
+    passage = " ".join(rng.choice(vocab) for _ in range(51)) + "."
+    assert 200 < len(passage) < 400
+    short = " ".join(rng.choice(["the", "over", "bees", "and", "old", "mills"]) for _ in range(51)) + "."
+    assert 225 <= len(short) < 250
+    texts = []
+    for i in range(6):
+        own = sentences(rng, 12) + [short] * (i > 3)
+        texts.append("\n".join([*own[:6], passage, *own[6:]]))
+    stage = dict(corpus_pipeline.STAGES)["repeated_passages"]
+    got = {r["doc_id"]: r["text"] for r in stage(spark, documents(texts), "").collect()}
+    assert [passage in got[i] for i in range(6)] == [True] + [False] * 5
+    for i in range(1, 6):
+        assert passage[:40] not in got[i] and (short in got[i]) == (i == 4) and len(got[i]) >= len(texts[i]) - len(passage) - len(short) * (i == 5) - 32
