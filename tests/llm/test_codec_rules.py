@@ -86,6 +86,26 @@ def test_quality_lines(spark, documents):
     assert quality_rules.filter_quality(empty).collect() == [] and quality_rules.quality_report(empty).collect() == []
 
 
+def test_clean_long_and_wrapped_documents_stay(spark, documents):
+    import textwrap
+    rng = random.Random(4)
+    vocab = [f"word{i}" for i in range(900)] + ["Haus", "Brücke", "London"]
+    prose = [" ".join(rng.choice(vocab) for _ in range(rng.randint(6, 14))).capitalize() + "." for _ in range(200)]
+    read = "Those who want to read more about the old bridge have a blog in to which all of it is written down."
+    one_line = " ".join([*prose[:100], read, *prose[100:]])
+    cut_off = one_line[:-9]
+    wrapped = "\n\n".join(textwrap.fill(" ".join(prose[i:i + 8]), 72) for i in range(0, 200, 8))
+    spread_more = "They spread more news of the river, and his blog in to the night told all of it to the town. " + prose[0]
+    menu = "\n".join(" ".join(rng.choice(vocab) for _ in range(rng.randint(4, 12))) for _ in range(30))
+    wall = textwrap.fill(" ".join(rng.choice(vocab) for _ in range(200)), 72)
+    junk = "Read more: click here!\nAll rights reserved."
+    texts = [one_line, cut_off, wrapped, spread_more, menu, wall, prose[1] + prose[2] + "\n" + junk + "\n" + prose[3]]
+    got = {r["doc_id"]: r["text"] for r in quality_rules.filter_quality(documents(texts)).collect()}
+    assert [got.get(i) == texts[i] for i in range(4)] == [True] * 4
+    assert 4 not in got and 5 not in got
+    assert "rights" not in got.get(6, "") and "click" not in got.get(6, "")
+
+
 def test_packing(spark, documents):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))

@@ -1,6 +1,7 @@
 """Quality rules (2): line-first cleaning.
 
-Every line is judged by punctuation, navigation and boilerplate rules;
+Every line is judged by punctuation, navigation and boilerplate rules (in the
+pipeline form hard-wrapped lines as one paragraph, see ``failing_lines``);
 failing lines go, then a document that lost too large a share of its words
 is rejected. Counts that whole-document rules need (symbols, repeated
 lines, repeated 8-word windows) come from the same pass. The job is one
@@ -35,30 +36,92 @@ TERMINAL = ".!?…:;\"'”’»)]}"
 BOILERPLATE = ("cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
                "enable javascript", "lorem ipsum", "click here", "read more", "sign up for", "log in to",
                "share this", "subscribe to our")
+MIN_WRAP, MAX_WRAP = 40, 120     # characters in the longest line of hard-wrapped text
 NOISE = r"!!|[%*#$&]{3}"
 
 _SEP = frozenset(s.encode() for s in SEPARATORS)
 _TERMINAL = tuple(c.encode() for c in TERMINAL)
 _BOILER = re.compile("|".join(BOILERPLATE).encode())
+_WHOLE_BOILER = re.compile(r"\b(?:" + "|".join(BOILERPLATE) + r")\b")
+_SENTENCE = tuple(c.encode() for m in ".!?…" for c in (m, *(m + q for q in "\"'”’»)]}")))
 _NOISE = re.compile(NOISE.encode())
 
 
+def navigation(line: bytes, words: list[bytes]) -> bool:
+    seps = sum(w in _SEP for w in words) if any(s in line for s in _SEP) else 0
+    return seps >= 2 and 5 * seps >= len(words)
+
+
+def noisy(line: bytes, words: list[bytes]) -> bool:
+    return _NOISE.search(line) is not None and 3 * sum(_NOISE.search(w) is not None for w in words) > len(words)
+
+
 def line_fails(line: bytes, words: list[bytes]) -> bool:
     """Navigation: separators are a fifth of the words, two at least.
     Punctuation: a line of four words or more has no closing mark, or more
     than a third of its words carry doubled marks or symbol runs.
     Boilerplate: one of the fixed phrases, ASCII case ignored."""
-    n = len(words)
-    seps = sum(w in _SEP for w in words) if any(s in line for s in _SEP) else 0
-    if seps >= 2 and 5 * seps >= n:
+    if navigation(line, words) or noisy(line, words):
         return True
-    if n >= MIN_LINE_WORDS and not words[-1].endswith(_TERMINAL):
-        return True
-    if _NOISE.search(line) and 3 * sum(_NOISE.search(w) is not None for w in words) > n:
+    if len(words) >= MIN_LINE_WORDS and not words[-1].endswith(_TERMINAL):
         return True
     return _BOILER.search(line.lower()) is not None
 
 
+def boilerplate_share(line: bytes, n: int) -> bool:
+    """The phrases, as whole words, are at least a quarter of the line's words."""
+    if not _BOILER.search(line.lower()):
+        return False
+    return 4 * sum(len(p.split()) for p in _WHOLE_BOILER.findall(line.decode().lower())) >= n
+
+
+def unfinished(words: list[bytes]) -> bool:
+    """No closing mark at the end, and no sentence that ends within closes half of the words."""
+    n = len(words)
+    if n < MIN_LINE_WORDS or words[-1].endswith(_TERMINAL):
+        return False
+    closed = next((i + 1 for i in range(n - 1, -1, -1) if words[i].endswith(_SENTENCE)), 0)
+    return 2 * (n - closed) > n
+
+
+def wrapped_paragraphs(lines: list[bytes], words: list[list[bytes]]) -> list[tuple[int, int]]:
+    """Ranges of lines that are one hard-wrapped paragraph each; other lines are alone.
+    In a block of lines without a blank one between, none longer than ``MAX_WRAP``,
+    a line goes on in the next if it has no closing mark and the next one's first
+    word would have made it longer than the longest line."""
+    out, at = [], 0
+    while at < len(lines):
+        end = at + 1
+        if words[at]:
+            while end < len(lines) and words[end]:
+                end += 1
+            size = [len(x.decode().strip()) for x in lines[at:end]] if end - at > 1 else [0]
+            width = max(size)
+            first = at
+            for i in range(at, end):
+                if i + 1 < end and MIN_WRAP <= width <= MAX_WRAP and not words[i][-1].endswith(_TERMINAL) \
+                        and size[i - at] + 1 + len(words[i + 1][0].decode()) > width:
+                    continue
+                out.append((first, i + 1))
+                first = i + 1
+        else:
+            out.append((at, end))
+        at = end
+    return out
+
+
+def failing_lines(lines: list[bytes], words: list[list[bytes]]) -> list[bool]:
+    """Pipeline form of ``line_fails``, which must keep clean documents however long
+    their lines are: marks and noise alike, but a closing mark is asked of a whole
+    paragraph, and boilerplate must be a large share of its line."""
+    fails = [bool(w) and (navigation(x, w) or noisy(x, w) or boilerplate_share(x, len(w)))
+             for x, w in zip(lines, words)]
+    for a, z in wrapped_paragraphs(lines, words):
+        if unfinished([x for w in words[a:z] for x in w]):
+            fails[a:z] = [True] * (z - a)
+    return fails
+
+
 def repeated_window_words(words: list[bytes], width: int = WINDOW) -> int:
     """Words inside ``width``-word windows that occur twice or more."""
     n = len(words) - width + 1
@@ -91,8 +154,9 @@ def repeated_window_words(words: list[bytes], width: int = WINDOW) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def judge(text: bytes) -> tuple[int, int, int, int, int, int, bool, bool, bytes]:
-    """Counts, verdicts and cleaned text of one document."""
+def judge(text: bytes, single: bool = False) -> tuple[int, int, int, int, int, int, bool, bool, bytes]:
+    """Counts, verdicts and cleaned text of one document; ``single`` judges every
+    line by itself (``line_fails``), as the query's SQL does."""
     words = text.split()                         # exactly runs of [^\x20\x09-\x0D]
     n_words = len(words)
     bare = text.translate(None, WHITESPACE)
@@ -101,13 +165,15 @@ def judge(text: bytes) -> tuple[int, int, int, int, int, int, bool, bool, bytes]
     seen: set[bytes] = set()
     n_dup = lost = 0
     keep = []
-    for line in text.split(b"\n"):
-        lw = line.split()
+    lines = text.split(b"\n")
+    by_line = [x.split() for x in lines]
+    fails = [bool(w) and line_fails(x, w) for x, w in zip(lines, by_line)] if single else failing_lines(lines, by_line)
+    for line, lw, failed in zip(lines, by_line, fails):
         if lw:
             if line in seen:
                 n_dup += 1
             seen.add(line)
-            if line_fails(line, lw):
+            if failed:
                 lost += len(lw)
                 continue
         keep.append(line)
@@ -129,7 +195,7 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = ("doc_id", *_COUNTS, "base_failed", "kept", "clean_text")
 
     def run(b: pa.RecordBatch) -> dict:
-        rows = [judge(t) for t in texts_as_bytes(b.column(1))]
+        rows = [judge(t, single=True) for t in texts_as_bytes(b.column(1))]
         cols = list(zip(*rows))
         return {"doc_id": b.column(0)} | {n: list(c) for n, c in zip(names[1:-1], cols)} | {
             "clean_text": pa.array([x.decode() for x in cols[-1]], pa.string())}
