@@ -23,7 +23,9 @@
    links.
 
 A pair at similarity 0.8 shares no band with probability
-``(1 - 0.8 ** ROWS) ** BANDS`` < 4e-6; nothing else loses a link.
+``(1 - 0.8 ** ROWS) ** BANDS`` < 4e-6, and its estimate is too low with the
+probability that 47 or more of HASHES groups differ, at 0.15 each: 2.8e-6
+(binomial). Nothing else loses a link.
 
 Hot groups: exact copies are pre-aggregated, bucket members meet in joins
 that adaptive execution can split, no group is collected.
