@@ -49,3 +49,15 @@ def test_missing_and_damaged_files(spark, tmp_path):
         (tmp_path / name / "tokenizer.json").write_text(text)
         with pytest.raises(ValueError):
             read_tokenizer(spark, str(tmp_path / name))
+
+
+def test_file_order_rows(spark):
+    import hashlib
+
+    import pyarrow.parquet as pq
+
+    from tokenmill.plans.catalog import QUERIES, load_all
+    load_all()
+    html = pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"])["html"].to_pylist()
+    got = {(r["doc_id"], r["text_sha256"]) for r in QUERIES["S1_file_order_rows"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {(i, hashlib.sha256(x.encode()).hexdigest()) for i, x in enumerate(html)}

@@ -53,6 +53,15 @@ def s1_file_order(spark, sf):
                  (F.count_distinct("doc_id") == F.count(F.lit(1))).alias("dense"))
 
 
+@register("S1_file_order_rows", """
+select row_number() over () - 1 as doc_id, sha256(html) as text_sha256 from pages
+""")
+def s1_file_order_rows(spark, sf):
+    """Every document of a source without an id column, with its number in file order."""
+    d = read_corpus(spark, f"{sf}/pages.parquet", text_col="html", id_col=None)
+    return d.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
 @register("S5_byte_alphabet", """
 with b as (select range::int as byte from range(256)),
 k as (select byte, (byte between 33 and 126) or (byte between 161 and 172) or (byte between 174 and 255) as keep from b)
