@@ -6,17 +6,20 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tokenmill.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401
 
 #: Arrow batches between Spark and Python hold at most this many rows, so
 #: that a batch of very long texts still fits a worker.
 BATCH_ROWS = 512
+BATCH_BYTES = 2 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small: texts can be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +36,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Narrow map: ``fn`` gets one Arrow batch and returns column lists or arrays."""
-    names = [f.strip().split(" ")[0].strip("`") for f in _fields(schema)]
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str | StructType) -> DataFrame:
+    """Narrow map: ``fn`` gets one Arrow batch and returns column lists or arrays.
+    Tables with columns of the caller pass a ``StructType``: any name and type goes."""
+    names = schema.names if isinstance(schema, StructType) else [
+        f.strip().split(" ")[0].strip("`") for f in _fields(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -47,6 +52,15 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores added until no column in ``taken`` has it (Spark
+    ignores case in names)."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def _arrow(x):
     return x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x)
 

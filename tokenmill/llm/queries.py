@@ -85,3 +85,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["t"] - x["f"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op13_simhash_pivots")
+def op13_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.simhash_pivots import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3)
