@@ -107,3 +107,19 @@ s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigin
       from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
 select query_id, rank::int as rank, vec_id, score from (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20"""
+
+HARD_NEGATIVES = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.v, c.v)::bigint as score
+      from e a join e c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score
+      from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as r from s where same)
+      where r <= 5),
+n as (select anchor_id, positive_id, s.vec_id as negative_id, positive_score, s.score as negative_score,
+             row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+      from p join s using (anchor_id)
+      where not same and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 5"""

@@ -91,3 +91,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tokenmill.llm.simhash_pivots import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), width=3)
+
+
+@register("op11_hard_negatives", oracle.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.hard_negatives import hard_negatives, labelled_vectors
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(labelled_vectors(rows.withColumn("label", label), 256), F.col("vec_id") % 100 == 0)
