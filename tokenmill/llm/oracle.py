@@ -123,3 +123,25 @@ n as (select anchor_id, positive_id, s.vec_id as negative_id, positive_score, s.
       from p join s using (anchor_id)
       where not same and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score)
 select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
+
+def lexical_sql() -> str:
+    words = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    return f"""
+with d as (select row_number() over () as r, doc_id, {words} as ws from documents),
+c as (select count(*) as n_docs, sum(len(ws))::bigint as n_terms from d where len(ws) > 0),
+q as (select distinct item_id, term from (select item_id, unnest({words}) as term from benchmark)),
+f as (select r, term, count(*) as tf from (select r, unnest(ws) as term from d) where term in (select term from q)
+      group by r, term),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+      from f, c group by term, n_docs),
+s as (select q.item_id, f.r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(d.ws) * n_docs) // n_terms))))
+             ::bigint as score
+      from q join f using (term) join w using (term) join d on d.r = f.r, c group by q.item_id, f.r)
+select item_id, rank::int as rank, doc_id, score from (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) as rank
+  from s join d using (r) where score > 0 and doc_id is not null) where rank <= 50"""
+
+
+LEXICAL_SEARCH = lexical_sql()

@@ -87,6 +87,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register("op12_lexical_search", oracle.LEXICAL_SEARCH)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenmill.llm.lexical_search import rank_documents
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
 @register("op13_simhash_pivots")
 def op13_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tokenmill.llm.simhash_pivots import near_duplicates
