@@ -188,3 +188,20 @@ def test_repeats_long_text_and_odd_tables(spark, documents, monkeypatch):
     out = sd.drop_repeats(docs, 400)
     assert out.columns == docs.columns and out.count() == 4
     assert sd.remove_repeats(docs.limit(0), 400).collect() == []
+
+
+def test_longest_previous_factor_equals_definition():
+    import numpy as np
+    rng = random.Random(12)
+    for _ in range(30):
+        n, alphabet = rng.randint(1, 120), rng.choice(["a", "ab", "abc"])
+        text = "".join(rng.choice(alphabet) for _ in range(n)).encode()
+        shared = lambda i, j: next((k for k in range(n) if max(i, j) + k == n or text[i + k] != text[j + k]), n)
+        order = sorted(range(n), key=lambda i: text[i:])
+        common = np.array([0] + [shared(a, b) for a, b in zip(order, order[1:])])
+        got = np.empty(n, np.int64)
+        got[order] = sd.longest_previous_factor(np.array(order), common)
+        assert got.tolist() == [max([0, *(shared(i, j) for j in range(i))]) for i in range(n)]
+        later = np.empty(n, np.int64)
+        later[order] = sd.longest_previous_factor(-np.array(order), common)
+        assert later.tolist() == [max([0, *(shared(i, j) for j in range(i + 1, n))]) for i in range(n)]

@@ -45,13 +45,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_bytes
+from tokenmill.llm.common import cut_lineage, free_name, map_batches, spread, texts_as_bytes
 
 ROWS, BANDS, BITS = 5, 32, 2
 PARITY = 512                # parity bits of a set
 HASHES = ROWS * BANDS
 SLACK = 0.19
-CACHE_WORDS = 500_000       # per worker
+CACHE_WORDS = 60_000        # per worker
 _U = np.uint64
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -326,6 +326,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Pipeline form: one document of each group stays, with all its columns.
     Rows that share the id of a kept document are kept with it."""
-    gone = near_duplicates(docs, width, percent).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    name = free_name(docs.columns, "gone")
+    gone = near_duplicates(docs, width, percent).filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone[name], "left_anti")

@@ -15,8 +15,11 @@ Steps, none of which sees rows of one length or document set in one place:
    of the pieces have is numbered by many tasks) and look up their place in
    the plan, a table bounded by the capacity.
 
-Defined cases: a null or empty text is the end token alone; null ids and
-repeated rows are documents of their own; an empty table packs to nothing.
+Defined cases: a null or empty text is the end token alone; a very long text is
+cut into pieces of the capacity, one document at a time; null ids and repeated
+rows are documents of their own; pieces of equal length are interchangeable, so
+ties have no effect on the number of sequences; other columns are ignored,
+whatever their names; an empty table packs to nothing.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_byte
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 1_000_000     # per worker and cache
+CACHE_WORDS = 200_000       # per worker and cache
 
 
 # ------------------------------------------------------------------ 1: token ids and pieces
@@ -205,11 +208,35 @@ def _triple(count: np.ndarray, total: int) -> tuple[int, int, int] | None:
     return None
 
 
+RESERVES = (0, 8, 4, 2)     # lengths up to capacity / this are kept out of combinations (0: none)
+
+
 def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """Exact complements first, best fit for the rest; works on counts only."""
+    """Exact complements first, best fit for the rest; works on counts only.
+
+    Short lengths that combinations consume are missing later, when best fit could
+    have filled other gaps with them. The plan is therefore made with growing
+    reserves of short lengths until it needs no more sequences than the tokens do;
+    else the shortest plan stands. The largest reserve leaves all to best fit,
+    so no plan is longer than best fit alone."""
+    least = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    best, size = None, 0
+    for part in RESERVES:
+        plan = _plan(histogram, capacity, capacity // part if part else 0)
+        used = sum(times for _, times in plan.groups)
+        if best is None or used < size:
+            best, size = plan, used
+        if size == least:
+            break
+    return best
+
+
+def _plan(histogram: dict[int, int], capacity: int, reserve: int) -> Plan:
     count = np.zeros(capacity + 1, np.int64)
     for n, c in histogram.items():
         count[n] = c
+    kept = [(n, int(count[n])) for n in range(reserve, 0, -1) if count[n]]
+    count[:reserve + 1] = 0
     plan = Plan()
     if count[capacity]:
         plan.add((capacity,), int(count[capacity]))
@@ -231,7 +258,7 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
         if count[n]:
             rest.append((n, int(count[n])))
             count[n] = 0
-    _best_fit(rest, plan, capacity)
+    _best_fit(rest + kept, plan, capacity)
     return plan
 
 

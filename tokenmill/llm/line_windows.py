@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import map_batches, spread, texts_as_bytes
+from tokenmill.llm.common import free_name, map_batches, spread, texts_as_bytes
 
 WINDOW = 3
 
@@ -71,8 +71,10 @@ def windows_before(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
 
 
 def _with_before(docs: DataFrame, width: int, id_col: str, text_col: str, columns: list) -> DataFrame:
-    w = windows_before(docs, width, id_col, text_col).select(F.col("doc_id").alias("_id"), F.col("before").alias("_before"))
-    return docs.join(w, docs[id_col].cast("bigint") == w["_id"], "left").select(*columns, "_before")
+    w = windows_before(docs, width, id_col, text_col)
+    found = free_name(docs.columns, "before")
+    w = w.select(F.col("doc_id").alias(free_name(docs.columns, "id")), F.col("before").alias(found))
+    return docs.join(w, docs[id_col].cast("bigint") == w[w.columns[0]], "left").select(*columns, w[found])
 
 
 def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,6 +115,6 @@ def drop_repeated_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
         out["text"] = pa.array(texts, pa.string())
         return out
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    out = map_batches(_with_before(docs, width, "doc_id", "text", [docs[n] for n in names]), run, schema)
-    return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in names else out
+    columns = [docs[f"`{n}`"] for n in names]
+    out = map_batches(_with_before(docs, width, "doc_id", "text", columns), run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

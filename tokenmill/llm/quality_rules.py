@@ -207,7 +207,6 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def filter_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Pipeline form: the kept documents with their failing lines removed, all
     other columns untouched (``n_chars``, if there, follows the new text)."""
-    types = dict(docs.dtypes)
     names = docs.columns
 
     def run(b: pa.RecordBatch) -> dict:
@@ -217,6 +216,5 @@ def filter_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
         out[text_col] = pa.array([r[8].decode() for r in rows if r[7]], pa.string())
         return out
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in types.items())
-    out = map_batches(spread(docs), run, schema)
-    return out.withColumn("n_chars", F.length(text_col).cast("bigint")) if "n_chars" in names else out
+    out = map_batches(spread(docs), run, docs.schema)
+    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

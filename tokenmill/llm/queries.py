@@ -84,7 +84,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), keep="none")
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["t"] - x["f"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 @register("op12_lexical_search", oracle.LEXICAL_SEARCH)

@@ -13,9 +13,10 @@ groups that can hold equal windows, and each group is sorted by itself.
    passages. One copy of each such block is fetched (text joined once by
    document id) and the blocks of an anchor meet in one group.
 3. In a group of at most ``GROUP`` blocks: suffix array by prefix doubling to
-   depth ``LENGTH``; in suffix order the neighbouring smaller position that
-   shares ``LENGTH`` bytes is the earlier match of the longest-previous-factor
-   array, the neighbouring larger one the later match.
+   depth ``LENGTH`` and what neighbours in it share; from the previous and the
+   next smaller position in suffix order follows the longest-previous-factor
+   array, and a window whose factor is ``LENGTH`` bytes or longer has an earlier match.
+   Positions counted from the end give the longest next factor, the later matches.
 4. An anchor with more blocks (a passage that a large part of all documents
    share, in ever new surroundings) is not gathered: runs of its windows, then
    single windows of the runs that this leaves open, are rows with 128-bit
@@ -28,9 +29,12 @@ id, then place); ``keep="none"`` removes every copy.
 
 Defined cases: null or empty texts have no bytes and lose none; bytes are cut
 wherever the windows end, so a text may lose part of a character (then
-decoding replaces it in the pipeline form); rows with a null id take no part
+decoding drops it in the pipeline form); very long texts are hashed in slices
+of ``SLICE`` bytes; rows with a null id take no part
 and are returned whole; rows that share an id are copies of each other, and
-one document for ``keep="first"``; an empty table gives an empty table.
+one document for ``keep="first"``; equal windows of one document are ranked by
+place; other columns are ignored or, in the pipeline form, untouched, whatever
+their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -44,13 +48,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_bytes
+from tokenmill.llm.common import cut_lineage, free_name, map_batches, spread, texts_as_bytes
 
 LENGTH = 400
 GRAM = 64
 GROUP = 200                 # blocks of one anchor that are sorted together
 STEP = 16                   # windows in a run, where blocks are too many for that
-SLICE = 1 << 20             # bytes worked on at once
+SLICE = 1 << 17             # bytes hashed at once
+GROUP_BYTES = 1 << 18       # bytes of small groups that are sorted together
 _U = np.uint64
 _PLACE = (1 << 24) - 1      # low bits of a sort key that hold a place within a slice
 
@@ -164,27 +169,63 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return np.unique(keys, return_inverse=True)[1].ravel()
 
 
-def prefix_ranks(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of the ``depth``-byte string at each start among all of them, by
-    prefix doubling: ranks of strings of 8 bytes, then of twice as many."""
+def prefix_ranks(data: np.ndarray, depth: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """Prefix doubling: for widths 8, 16, ... up to ``depth`` the rank of the string of
+    that width at every place, and the rank of the ``depth``-byte string."""
     padded = np.concatenate([data, np.zeros(2 * depth, np.uint8)])
     n = len(data)
     key = np.zeros(n + depth, np.uint64)
     for j in range(8):
         key = (key << _U(8)) | padded[j:j + n + depth]
     rank, width = _ranks(key), 8
+    tables = {8: rank}
     while 2 * width <= depth:
         m = len(rank) - width
         rank = _ranks(rank[:m] * np.int64(len(rank) + 1) + rank[width:])
         width *= 2
+        tables[width] = rank
     if width < depth:
-        return _ranks(rank[starts] * np.int64(len(rank) + 1) + rank[starts + depth - width])
-    return _ranks(rank[starts])
-
-
-def matched_windows(blocks: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For blocks ``(doc, place, bytes)``: documents and places of all their
-    windows, and which of them have an earlier and a later match."""
+        m = len(rank) - (depth - width)
+        rank = _ranks(rank[:m] * np.int64(len(rank) + 1) + rank[depth - width:depth - width + m])
+    return tables, rank
+
+
+def shared_bytes(tables: dict[int, np.ndarray], one: np.ndarray, two: np.ndarray, depth: int) -> np.ndarray:
+    """How many bytes the suffixes at two places share, up to ``depth``, in steps of 8."""
+    same = np.zeros(len(one), np.int64)
+    for width in sorted(tables, reverse=True):
+        at = np.flatnonzero(same + width <= depth)
+        equal = tables[width][one[at] + same[at]] == tables[width][two[at] + same[at]]
+        same[at[equal]] += width
+    return same
+
+
+def _before_in_order(position: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For every suffix, in suffix order: what it shares with the nearest one before it
+    in that order that has a smaller position. ``common[i]`` is what suffix i shares
+    with suffix i - 1; links jump over suffixes known to have greater positions."""
+    link, share = np.arange(len(position)) - 1, common.copy()
+    todo = np.flatnonzero(link >= 0)
+    todo = todo[position[link[todo]] > position[todo]]
+    while len(todo):
+        over = link[todo]
+        share[todo], link[todo] = np.minimum(share[todo], share[over]), link[over]
+        todo = todo[(link[todo] >= 0) & (share[todo] > 0)]
+        todo = todo[position[link[todo]] > position[todo]]
+    return np.where(link >= 0, share, 0)
+
+
+def longest_previous_factor(position: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The longest previous factor of every suffix, in suffix order: the greater of
+    what it shares with the previous and with the next smaller position."""
+    back = np.concatenate([common[:1], common[1:][::-1]])
+    return np.maximum(_before_in_order(position, common), _before_in_order(position[::-1], back)[::-1])
+
+
+def matched_windows(blocks: list[tuple[int, int, bytes]], length: int,
+                    keep: str = "none") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For blocks ``(doc, place, bytes)``: documents and places of all their windows,
+    and which of them have an earlier match or, for ``keep="none"``, any."""
     data = np.frombuffer(b"".join(b for _, _, b in blocks), np.uint8)
     docs, places, starts, at = [], [], [], 0
     for doc, s, b in blocks:
@@ -194,13 +235,20 @@ def matched_windows(blocks: list[tuple[int, int, bytes]], length: int) -> tuple[
         starts.append(np.arange(at, at + k))
         at += len(b)
     doc, place, start = np.concatenate(docs), np.concatenate(places), np.concatenate(starts)
-    rank = prefix_ranks(data, start, length)
-    order = np.lexsort((place, doc, rank))        # suffix order to depth ``length``, then position
-    same = rank[order[1:]] == rank[order[:-1]]    # neighbours share ``length`` bytes
-    earlier, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    earlier[order[1:]] = same                     # the previous smaller position is the left neighbour
-    later[order[:-1]] = same
-    return doc, place, earlier, later
+    tables, full = prefix_ranks(data, length)
+    rank = full[start]
+    position = np.empty(len(start), np.int64)
+    position[np.lexsort((place, doc))] = np.arange(len(start))
+    order = np.lexsort((position, rank))          # suffix order to depth ``length``
+    common = np.zeros(len(order), np.int64)
+    equal = rank[order[1:]] == rank[order[:-1]]
+    near = shared_bytes(tables, start[order[:-1]], start[order[1:]], length)
+    common[1:] = np.where(equal, length, np.minimum(near, length - 1))
+    hit = np.zeros(len(order), bool)
+    hit[order] = longest_previous_factor(position[order], common) >= length
+    if keep == "none":                            # the same from the last position down: later matches
+        hit[order] |= longest_previous_factor(-position[order], common) >= length
+    return doc, place, hit
 
 
 def spans_of(doc: np.ndarray, place: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
@@ -218,15 +266,14 @@ def _group_matcher(length: int, keep: str):
         size, last = 0, None
 
         def flush() -> pa.RecordBatch:
-            doc, place, earlier, later = matched_windows([(d, s, x) for (d, s), x in held.items()], length)
-            hit = earlier if keep == "first" else earlier | later
+            doc, place, hit = matched_windows([(d, s, x) for (d, s), x in held.items()], length, keep)
             found = list(spans_of(doc[hit], place[hit], length))
             cols = list(zip(*found)) if found else [(), (), ()]
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["doc_id", "f", "t"])
 
         for b in batches:
             for anchor, doc, s, block in zip(*(b.column(i).to_pylist() for i in range(4))):
-                if size > SLICE // 2 and anchor != last:
+                if size > GROUP_BYTES and anchor != last:
                     yield flush()
                     held, size = {}, 0
                 held[doc, s] = block
@@ -403,9 +450,10 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") ->
     other columns untouched (``n_chars`` follows the new text). A character that
     a cut splits loses its other bytes too."""
     names = docs.columns
-    spans = repeated_spans(docs, length, keep).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, docs["doc_id"].cast("bigint") == spans["_id"], "left").select(
-        *[docs[n] for n in names], "_spans")
+    own_id, found = free_name(docs.columns, "id"), free_name(docs.columns, "spans")
+    spans = repeated_spans(docs, length, keep).select(F.col("doc_id").alias(own_id), F.col("spans").alias(found))
+    joined = docs.join(spans, docs["doc_id"].cast("bigint") == spans[own_id], "left").select(
+        *[docs[f"`{n}`"] for n in names], spans[found])
 
     def run(b: pa.RecordBatch) -> dict:
         out = {n: b.column(i) for i, n in enumerate(names)}
@@ -416,6 +464,5 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") ->
                                 for x, y, v in zip(texts, s, valid)], pa.string())
         return out
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    out = map_batches(joined, run, schema)
-    return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in names else out
+    out = map_batches(joined, run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
