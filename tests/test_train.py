@@ -1,6 +1,6 @@
 import random
 
-from bruteforce import train_exact, train_stale_drop
+from bruteforce import train_exact, train_indexed, train_stale_drop
 from pyspark.sql import functions as F
 
 from tokenmill.operators.stats import pair_freq, top_pairs
@@ -97,19 +97,33 @@ def test_model_vocab(spark):
     assert m.vocab_size == 276
 
 
-def test_stream_training_first_seen(spark):
+def test_few_runs_give_the_same_merges(spark):
+    """Whatever number of active pairs and runs a round may take, down to one pair."""
+    rnd = random.Random(21)
+    corpus = random_corpus(rnd, 120, "abcd", 9) | {"a" * k: 2 for k in range(1, 9)}
+    want, _ = train_exact(as_ids(corpus), 40)
+    for batch, limit, n in ((1, 1, 6), (8, 12, 20), (1000, 100_000, 40)):
+        got = train_bpe(words_df(spark, corpus), 275 + n, batch=batch, run_limit=limit)
+        assert got.merges == want[:n], (batch, limit)
+
+
+def test_two_thousand_merges_of_the_documents(spark):
+    from tokenmill.operators.stats import word_freq
+    words = word_freq(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).persist()
+    got = train_bpe(words, 275 + 2000)
+    want = train_indexed(as_ids({r["word"]: r["n"] for r in words.collect()}), 2000)
+    assert got.merges == want and got.rounds < 20
+    words.unpersist()
+
+
+def brute_stream(texts, n_merges):
     from collections import Counter
 
     from bruteforce import merge_word
     from test_text import py_clean, py_pretok
-    from tokenmill.operators.train_stream import train_bpe_stream
-    rnd = random.Random(4)
-    texts = [" ".join(rnd.choice(["ab", "ba", "abc", "cab", "b a"]) for _ in range(rnd.randint(2, 9))) for _ in range(12)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = train_bpe_stream(df, 275 + 6).merges
     streams = [[19 + b for b in "".join(py_pretok(py_clean(t))).encode()] for t in texts]
     want = []
-    for k in range(6):
+    for k in range(n_merges):
         c, first = Counter(), {}
         for d, s in enumerate(streams):
             for i in range(len(s) - 1):
@@ -123,7 +137,36 @@ def test_stream_training_first_seen(spark):
             break
         streams = [list(merge_word(tuple(s), p[0], p[1], 275 + k)) for s in streams]
         want.append((p[0], p[1], 275 + k, f, sum(len(s) for s in streams)))
-    assert got == want
+    return want
+
+
+def test_stream_training_first_seen(spark):
+    from tokenmill.operators.train_stream import train_bpe_stream
+    rnd = random.Random(4)
+    parts = ["ab", "ba", "abc", "cab", "b a", "aaaa", "bb", "cc", "é"]
+    texts = [" ".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = brute_stream(texts, 70)
+    assert 20 < len(want)
+    for active, limit, n in ((1, 1, 6), (8, 9, 20), (32, 30_000, 70)):
+        got = train_bpe_stream(df, 275 + n, active=active, run_limit=limit)
+        assert got.merges == want[:n], (active, limit)
+    assert train_bpe_stream(df.limit(0), 300).merges == []
+
+
+def test_symbol_arrays_round_trip():
+    import numpy as np
+    import pyarrow as pa
+    from tokenmill.operators import active_runs as ar
+    rows = ["", sym(0) + sym(1_048_575), sym(300), "", sym(70_000) * 3, None]
+    for part in (slice(None), slice(1, 4), slice(0, 0)):
+        column = pa.array(rows)[part]
+        ids, at = ar._ids(column)
+        assert len(ids) == at[-1]
+        assert ar._strings(ids, at).to_pylist() == [r or "" for r in rows[part]]
+    ids, at = ar._ids(pa.array(rows))
+    assert ar._codes(ids, at).tolist() == [0 << 21 | 1_048_575, -1, -1, 70_000 << 21 | 70_000, 70_000 << 21 | 70_000]
+    assert np.diff(at).tolist() == [0, 2, 1, 0, 3, 0]
 
 
 def test_lossless_flavour_offsets(spark):

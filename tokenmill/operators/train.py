@@ -1,29 +1,16 @@
 """Byte-level BPE training as iterative Spark rounds (V1-V8).
 
-State: a cached DataFrame of distinct words as symbol strings
-``(syms STRING, n BIGINT)`` (one character per token id, see
-``functions.text.sym``) and a cached table of pair counts. The driver only
-ever sees small aggregates: the top pairs of a round, a few check numbers and
-the merges themselves (at most ``vocab_size`` rows).
-
-Exact selection (the default) merges several pairs per round when that
-provably gives the same result as one-at-a-time merging:
-
-* candidates are the best ``batch`` pairs (freq desc, then smaller
-  ``(left, right)``), cut to the longest prefix whose pairs share no symbol,
-  so merging one leaves the counts of the others unchanged;
-* only the words that contain a pair of the prefix are looked at: their pairs
-  before and after (with an end-of-word mark, so the count of every symbol is
-  known too) give the change of every pair count, which is added to the table;
-* pairs with a symbol of this round occur in those words only. For each step
-  ``i`` of the batch they are re-counted as they were right after step ``i``
-  (later merged symbols folded back to their parts); if such a pair reaches
-  the frequency of step ``i + 1`` the batch is cut after ``i`` and the change
-  taken again for the shorter prefix.
-
-One Spark job per round when the batch holds, two when it is cut; both tables
-are checkpointed to the reliable checkpoint folder every few rounds so lineage
-stays short.
+State: distinct words as symbol strings ``(syms STRING, n BIGINT)`` (one
+character per token id, see ``functions.text.sym``). The driver only ever sees
+small aggregates: the best pairs of a round, a bounded table of runs (see
+``operators.active_runs``) and the merges themselves (at most ``vocab_size``
+rows).
+
+Exact selection (the default) finds many merges in one round, and they are the
+ones that merging one pair at a time gives (freq desc, then smaller
+``(left, right)``). A round is three jobs: count pairs, collect the distinct
+runs of the best pairs, rewrite the words; the words are checkpointed to
+the reliable checkpoint folder after it, so lineage stays short.
 """
 
 from __future__ import annotations
@@ -37,10 +24,13 @@ from tokenmill.constants import SPECIAL_TOKENS_19
 from tokenmill.functions.text import (
     END_MARK, MAX_SYMBOL_ID, SYM_BASE, sym, to_byte_symbols,
 )
+from tokenmill.operators.active_runs import next_merges
 from tokenmill.operators.stats import symbol_pairs
 from tokenmill.session import cut_lineage, session_conf
 
 END_ID = ord(END_MARK) - SYM_BASE   # -1: never a token id
+ACTIVE_PAIRS = 64                   # active pairs of the first round
+RUN_LIMIT = 30_000                  # distinct runs that go to the driver at most
 
 # ----------------------------------------------------------------------------- model
 
@@ -153,42 +143,21 @@ def add_change(counts: DataFrame, change: DataFrame) -> DataFrame:
     return counts.unionByName(change).groupBy("l", "r").agg(F.sum("f").alias("f")).filter("f > 0")
 
 
-def _top(pt: DataFrame, k: int) -> DataFrame:
-    return (pt.filter((F.col("r") != END_ID) & (F.col("f") >= 2))
-            .orderBy(F.desc("f"), F.asc("l"), F.asc("r")).limit(k))
-
-
-def _arr(values: list[int]) -> Column:
-    return F.array(*[F.lit(int(v)) for v in values])
-
-
-def _choose_batch(top: list[tuple[int, int, int]], next_id: int, room: int,
-                  batch_limit: int) -> list[tuple[int, int, int, int]]:
-    """Longest prefix of the candidates whose pairs share no symbol."""
-    out, used = [], set()
-    for l, r, f in top:
-        if len(out) >= min(room, batch_limit) or f < 2:
-            break
-        if l in used or r in used:
-            break
-        used.update((l, r))
-        out.append((l, r, next_id + len(out), f))
-    return out
-
-
 # ----------------------------------------------------------------------------- V3 / V5 / V7
 
 def train_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = None,
               word_col: str = "word", n_col: str = "n", selection: str = "exact",
-              batch: int = 64, checkpoint_every: int = 8,
-              base_model: BpeModel | None = None) -> BpeModel:
+              batch: int = ACTIVE_PAIRS, checkpoint_every: int = 8,
+              base_model: BpeModel | None = None, run_limit: int = RUN_LIMIT) -> BpeModel:
     """V3: learn merges from a word-count table ``(word, n)`` until the
     vocabulary has ``vocab_size`` ids or no pair occurs twice.
 
     ``selection='exact'`` gives the textbook result (ties: smaller
     ``(left, right)``); ``selection='stale_drop'`` reproduces the lazy-heap
     selection of the reference trainer (V4). ``base_model`` continues an
-    existing vocabulary (V6): its merges are applied first.
+    existing vocabulary (V6): its merges are applied first. ``batch`` active
+    pairs are tried in the first round; ``run_limit`` bounds the runs that
+    a round brings to the driver.
     """
     model = base_model or BpeModel(specials=list(specials or SPECIAL_TOKENS_19))
     if vocab_size - 1 > MAX_SYMBOL_ID:
@@ -204,8 +173,9 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
     if selection != "exact":
         raise ValueError(f"unknown selection {selection!r}")
     # the word table is materialised first with the session's own settings
-    work = cut_lineage(work)
-    return _train_exact(work, model, vocab_size, batch, checkpoint_every)
+    work = cut_lineage(work.select("syms", "n"))
+    with session_conf(work.sparkSession, round_conf(work.sparkSession)):
+        return train_rounds(work, model, vocab_size, batch, run_limit)
 
 
 def round_conf(spark: SparkSession) -> dict[str, str]:
@@ -217,83 +187,24 @@ def round_conf(spark: SparkSession) -> dict[str, str]:
     return {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(n)}
 
 
-def _train_exact(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit: int,
-                 checkpoint_every: int) -> BpeModel:
-    with session_conf(work.sparkSession, round_conf(work.sparkSession)):
-        return _train_exact_rounds(work, model, vocab_size, batch_limit, checkpoint_every)
-
-
-def _check_rows(change: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
-    """For every step but the last: the largest count, right after the step, of
-    a pair with a symbol made by then (rows ``tag, l = step, r, f``)."""
-    k, n1, nk = len(batch), batch[0][2], batch[-1][2]
-    x = change.filter(F.col("l").between(n1, nk) | F.col("r").between(n1, nk))
-    x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("i"))
-    jl, jr = F.col("l") - F.lit(n1) + 1, F.col("r") - F.lit(n1) + 1
-    lefts, rights = _arr([a for a, _, _ in batch]), _arr([b for _, b, _ in batch])
-    # symbols made after step i go back to the part that touches the other symbol
-    lf = F.when((jl > F.col("i")) & (jl <= k), F.element_at(rights, jl)).otherwise(F.col("l"))
-    rf = F.when((jr > F.col("i")) & (jr <= k), F.element_at(lefts, jr)).otherwise(F.col("r"))
-    made = F.lit(n1) + F.col("i") - 1
-    x = x.select("i", lf.alias("lf"), rf.alias("rf"), "f").filter(
-        (F.col("rf") != END_ID) & (F.col("lf").between(F.lit(n1), made) | F.col("rf").between(F.lit(n1), made)))
-    return (x.groupBy("i", "lf", "rf").agg(F.sum("f").alias("f")).groupBy("i").agg(F.max("f").alias("f"))
-            .select(F.lit("chk").alias("tag"), F.col("i").alias("l"), F.lit(0).alias("r"), "f"))
-
-
-def _train_exact_rounds(work: DataFrame, model: BpeModel, vocab_size: int, batch_limit: int,
-                        checkpoint_every: int) -> BpeModel:
-    total_tokens = work.agg(F.coalesce(F.sum(F.col("n") * F.length("syms")), F.lit(0))).first()[0]
-    work = work.filter(F.length("syms") > 1)
+def train_rounds(work: DataFrame, model: BpeModel, vocab_size: int, active: int, run_limit: int) -> BpeModel:
+    """Rounds over symbol strings ``(syms, n[, doc])`` until the vocabulary is full."""
+    total = work.agg(F.coalesce(F.sum(F.col("n") * F.length("syms")), F.lit(0))).first()[0]
     next_id = max([model.first_merge_id] + [n + 1 for _l, _r, n, _f, _t in model.merges]
                   + [i + 1 for i in model.extra_vocab])
-    counts = cut_lineage(pair_table(work))
-    top = [(r["l"], r["r"], r["f"]) for r in _top(counts, batch_limit).collect()]
-    merges = list(model.merges)
-    rounds = 0
-    keep: list[DataFrame] = []   # caches that the current tables depend on
-
-    def order(rows) -> list[tuple[int, int, int]]:
-        return sorted(((r["l"], r["r"], r["f"]) for r in rows if r["tag"] == "top"), key=lambda t: (-t[2], t[0], t[1]))
-
-    while next_id < vocab_size and top:
-        cand = _choose_batch(top, next_id, vocab_size - next_id, batch_limit)
-        if not cand:
+    merges, rounds = list(model.merges), 0
+    while next_id < vocab_size:
+        made, work, active = next_merges(work, next_id, vocab_size - next_id, active, run_limit)
+        if not made:
             break
-        trip = [(l, r, n) for l, r, n, _f in cand]
-        while True:
-            change = pair_change(work, trip).persist()
-            after = add_change(counts, change).persist()
-            made = change.filter(F.col("l").between(trip[0][2], trip[-1][2])).groupBy("l").agg(F.sum("f").alias("f"))
-            res = _top(after, batch_limit).select(F.lit("top").alias("tag"), "l", "r", "f").unionByName(
-                made.select(F.lit("occ").alias("tag"), "l", F.lit(0).alias("r"), "f"))
-            if len(trip) > 1:
-                res = res.unionByName(_check_rows(change, trip))
-            rows = res.collect()
-            chk = {r["l"]: r["f"] for r in rows if r["tag"] == "chk"}
-            change.unpersist()
-            cut = next((i for i in range(1, len(trip)) if chk.get(i, 0) >= cand[i][3]), len(trip))
-            if cut == len(trip):
-                break
-            after.unpersist()
-            trip = trip[:cut]
-        occ = {r["l"]: r["f"] for r in rows if r["tag"] == "occ"}
-        for l, r, n, f in cand[:len(trip)]:
-            total_tokens -= occ.get(n, 0)
-            merges.append((l, r, n, f, total_tokens))
-        next_id = trip[-1][2] + 1
-        top = order(rows)
-        work = work.select(apply_merges(F.col("syms"), trip).alias("syms"), "n").filter(F.length("syms") > 1).persist()
-        counts = after
-        keep += [work, counts]
+        for left, right, new, f, times in made:
+            total -= times
+            merges.append((left, right, new, f, total))
+        next_id += len(made)
         rounds += 1
-        if rounds % checkpoint_every == 0:
-            work, counts = cut_lineage(work), cut_lineage(counts)
-            for d in keep:
-                d.unpersist()
-            keep = []
-    for d in keep:
-        d.unpersist()
+        if next_id < vocab_size:
+            # a string of one symbol has no pairs and is never needed again
+            work = cut_lineage(work.filter(F.length("syms") > 1))
     out = BpeModel(specials=model.specials, merges=merges, byte_offset=model.byte_offset,
                    extra_vocab=model.extra_vocab)
     out.rounds = rounds  # type: ignore[attr-defined]

@@ -3,10 +3,10 @@
 Each document (cleaned twice, digits isolated, all pre-tokens joined) is
 one symbol string, so merges may cross word boundaries. The best pair is
 the most frequent; ties go to the pair seen first (earliest document,
-then earliest position in the current stream). One merge per round: the
-first-seen order depends on the current positions, so rounds are not
-batched. Documents are not collected anywhere: each round is one
-aggregation over the document table, checkpointed every few rounds.
+then earliest position in the current stream). Rounds are those of
+``operators.active_runs`` with places: distinct runs of active pairs keep where
+they are first, which is all that ties need, so one pass over the documents gives
+many merges. Documents are not collected anywhere.
 """
 
 from __future__ import annotations
@@ -15,48 +15,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.constants import SPECIAL_TOKENS_19
-from tokenmill.functions.text import SYM_BASE, clean_text, pre_tokenize, sym, to_byte_symbols
-from tokenmill.operators.stats import first_seen_counts, symbol_pairs
-from tokenmill.operators.train import BpeModel, round_conf
+from tokenmill.functions.text import clean_text, pre_tokenize, to_byte_symbols
+from tokenmill.operators.train import BpeModel, round_conf, train_rounds
 from tokenmill.session import cut_lineage, session_conf
 
 
+ACTIVE_PAIRS = 32           # active pairs of the first round: streams have longer runs than words
+RUN_LIMIT = 30_000
+
+
 def stream_symbols(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     text = F.array_join(pre_tokenize(clean_text(F.col(text_col))), "")
     return docs.select(F.col(id_col).alias("doc_id"), to_byte_symbols(text).alias("syms"))
 
 
 def train_bpe_stream(docs: DataFrame, vocab_size: int, text_col: str = "text", id_col: str = "doc_id",
-                     checkpoint_every: int = 8) -> BpeModel:
+                     active: int = ACTIVE_PAIRS, run_limit: int = RUN_LIMIT) -> BpeModel:
+    """Merges of the documents' streams; ids are integers, and rows with a null id come first."""
     spark = docs.sparkSession
-    model = BpeModel(specials=list(SPECIAL_TOKENS_19))
+    work = stream_symbols(docs, text_col, id_col).select(
+        "syms", F.lit(1).cast("bigint").alias("n"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint")).alias("doc"))
+    work = cut_lineage(work)
     with session_conf(spark, round_conf(spark)):
-        work = cut_lineage(stream_symbols(docs, text_col, id_col))
-        tokens = work.agg(F.coalesce(F.sum(F.length("syms")), F.lit(0))).first()[0]
-        merges = []
-        next_id = model.first_merge_id
-        keep: list[DataFrame] = []
-        while next_id < vocab_size:
-            p = work.select("doc_id", F.posexplode(symbol_pairs(F.col("syms"))).alias("pos", "pair"))
-            agg = first_seen_counts(p, ["pair"])
-            best = agg.orderBy(F.desc("freq"), "first_doc", "first_pos").limit(1).collect()
-            if not best or best[0]["freq"] < 2:
-                break
-            pair, f = best[0]["pair"], best[0]["freq"]
-            a, b = ord(pair[0]) - SYM_BASE, ord(pair[1]) - SYM_BASE
-            nxt = work.select("doc_id", F.replace(F.col("syms"), F.lit(sym(a) + sym(b)), F.lit(sym(next_id)))
-                              .alias("syms")).persist()
-            tokens_after = nxt.agg(F.sum(F.length("syms"))).first()[0]
-            merges.append((a, b, next_id, f, tokens_after))
-            for d in keep:
-                d.unpersist()
-            keep = [nxt]
-            work = nxt
-            next_id += 1
-            if len(merges) % checkpoint_every == 0:
-                work = cut_lineage(work)
-        for d in keep:
-            d.unpersist()
-    out = BpeModel(specials=model.specials, merges=merges)
-    out.rounds = len(merges)  # type: ignore[attr-defined]
-    return out
+        return train_rounds(work, BpeModel(specials=list(SPECIAL_TOKENS_19)), vocab_size, active, run_limit)

@@ -119,6 +119,16 @@ def v3_train(spark, sf):
     return train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + TRAIN_K).merges_df(spark)
 
 
+FULL_VOCAB = 15_000
+
+
+@register("V3_train_vocab_15000")
+def v3_train_full(spark, sf):
+    """Exact word-level BPE to a vocabulary of 15,000 ids (too many rounds for SQL; the tests hold
+    thousands of merges against plain Python)."""
+    return train_bpe(word_freq(read_table(spark, sf, "documents")), FULL_VOCAB).merges_df(spark)
+
+
 STALE_K = 32
 
 
@@ -159,20 +169,20 @@ def v4_train_stale_drop(spark, sf):
     return m.merges_df(spark)
 
 
-@register("V8_merge_log_printable", f"""with recursive {MODEL_CTES},
-parts(id, rest) as (select new_id, '<' || "left" || '><' || "right" || '>' from {MODEL_M}
+@register("V8_merge_log_printable", f"""with recursive {_train_ctes},
+parts(id, rest) as (select new_id, '<' || "left" || '><' || "right" || '>' from {_train_m}
   union all select p.id, replace(p.rest, '<' || m.new_id || '>', '<' || m."left" || '><' || m."right" || '>')
-  from parts p join {MODEL_M} m on m.new_id = (select max(y::int) from unnest(string_split(p.rest[2:-2], '><')) u(y))),
+  from parts p join {_train_m} m on m.new_id = (select max(y::int) from unnest(string_split(p.rest[2:-2], '><')) u(y))),
 leaf as (select id, rest from parts
   where list_max(list_transform(string_split(rest[2:-2], '><'), lambda x: x::int)) < {FIRST_MERGE_ID}),
 bytes as (select id, array_to_string(list_transform(string_split(rest[2:-2], '><'),
             lambda x: lpad(to_hex(x::int - 19), 2, '0')), '') as h from leaf
           union all select 19 + range::int, lpad(to_hex(range), 2, '0') from range(256))
 select {MERGE_COLUMNS}, upper(l.h) as left_hex, upper(r.h) as right_hex
-from {MODEL_M} join bytes l on l.id = "left" join bytes r on r.id = "right" """)
+from {_train_m} join bytes l on l.id = "left" join bytes r on r.id = "right" """)
 def v8_merge_log(spark, sf):
     """Merge log with the bytes of each pair."""
-    m = train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB)
+    m = train_bpe(word_freq(read_table(spark, sf, "documents")), FIRST_MERGE_ID + TRAIN_K)
     return _with_bytes(spark, m).select("rank", "left", "right", "new_id", "freq", "tokens_after",
                                         F.hex("lb").alias("left_hex"), F.hex("rb").alias("right_hex"))
 
@@ -191,7 +201,7 @@ def t9_pair_repr(spark, sf):
     return _with_bytes(spark, trained_model(spark, sf)).select("rank", pair_repr("lb", "rb").alias("pair"))
 
 
-EXTEND_K = 32
+EXTEND_K = 64
 _d, _dm = merges_sql(WORDS_SQL, EXTEND_K, prefix="d_")
 BENCH_WORDS_SQL = f"""select word, count(*)::bigint as n
   from (select unnest({Q.pretokens('text')}) as word from benchmark) group by word"""
@@ -235,7 +245,7 @@ def s4_roundtrip_vocab(spark, sf):
                      F.count(F.lit(1)).cast("bigint").alias("entries"))
 
 
-STREAM_K = 16
+STREAM_K = 64
 
 
 def _stream_sql(k: int) -> str:
@@ -266,14 +276,15 @@ def v5_train_stream(spark, sf):
 
 LOSSLESS_WORDS_SQL = f"""select word, count(*)::bigint as n
   from (select unnest({Q.lossless('text')}) as word from documents) group by word"""
-LOSSLESS_CTES, LOSSLESS_M = merges_sql(LOSSLESS_WORDS_SQL, MODEL_K, first_id=FIRST_ID_25, prefix="g_",
+LOSSLESS_K = 64
+LOSSLESS_CTES, LOSSLESS_M = merges_sql(LOSSLESS_WORDS_SQL, LOSSLESS_K, first_id=FIRST_ID_25, prefix="g_",
                                        offset=len(SPECIAL_TOKENS_25))
 
 
 def train_lossless(spark, sf) -> BpeModel:
     docs = read_table(spark, sf, "documents")
     words = docs.select(F.explode(split_lossless("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return train_bpe(words, FIRST_ID_25 + MODEL_K, specials=list(SPECIAL_TOKENS_25))
+    return train_bpe(words, FIRST_ID_25 + LOSSLESS_K, specials=list(SPECIAL_TOKENS_25))
 
 
 @register("V7_train_lossless_split", f"with {LOSSLESS_CTES}\nselect {MERGE_COLUMNS} from {LOSSLESS_M}")
