@@ -105,12 +105,10 @@ select word, n, replace(s[2:-2], '><', ' ') as ids from done""")
 def v2_apply_merges(spark, sf):
     """All merges of the model applied, in rank order, to every distinct word."""
     from tokenmill.functions.text import symbols_to_ids
-    from tokenmill.operators.train import apply_merges
-    model = trained_model(spark, sf)
-    words = word_freq(read_table(spark, sf, "documents"))
-    syms = words_to_symbols(words, keep_word=True)
-    return syms.select("word", "n", F.array_join(symbols_to_ids(
-        apply_merges(F.col("syms"), [m[:3] for m in model.merges])), " ").alias("ids"))
+    from tokenmill.operators.codec import replay_merges
+    words = words_to_symbols(word_freq(read_table(spark, sf, "documents")), keep_word=True)
+    return replay_merges(words, trained_model(spark, sf).merges).select(
+        "word", "n", F.array_join(symbols_to_ids(F.col("syms")), " ").alias("ids"))
 
 
 @register("V3_train_exact", TRAIN_SQL)
