@@ -61,3 +61,58 @@ def test_file_order_rows(spark):
     html = pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"])["html"].to_pylist()
     got = {(r["doc_id"], r["text_sha256"]) for r in QUERIES["S1_file_order_rows"](spark, "/root/testdata/sf0.001").collect()}
     assert got == {(i, hashlib.sha256(x.encode()).hexdigest()) for i, x in enumerate(html)}
+
+
+def test_a_vocabulary_with_its_own_alphabet_survives(spark, tmp_path):
+    from tokenmill.operators.codec import decode_corpus
+    from tokenmill.operators.train import train_bpe
+    words = spark.createDataFrame([("banana", 3), ("band", 2), ("é", 1)], "word string, n bigint")
+    m = train_bpe(words, 25 + 6 + 3, specials=list(SPECIAL_TOKENS_25), alphabet="corpus")
+    assert m.alphabet == sorted({*"bandé".encode()}) and m.first_merge_id == 31 and m.vocab_size == 34
+    assert m.merges[0][:4] == (25, 28, 31, 8)               # a, n
+    path = str(tmp_path / "tok")
+    write_tokenizer(spark, m, path)
+    doc = json.load(open(f"{path}/tokenizer.json", encoding="utf-8"))["model"]
+    assert doc["unk_token"] == "<unk>" and doc["byte_fallback"] is False and len(doc["vocab"]) == 34
+    back = read_tokenizer(spark, path)
+    assert (back.alphabet, back.byte_offset, back.vocab_bytes()) == (m.alphabet, 25, m.vocab_bytes())
+    df = spark.createDataFrame([(1, "banana bxn"), (2, "ü")], "doc_id long, text string")
+    for mode in ("ranked", "sweep", "native"):
+        enc = encode_corpus(df, back, mode=mode, splitter="lossless")
+        got = {r["doc_id"]: r["ids"] for r in enc.collect()}
+        # the space, x and the second byte of the other vowel have no id
+        assert got[1][-4:] == [0, 26, 0, 28] and got[2] == [29, 0] or got[2] == [30, 0]
+        assert {r["doc_id"]: r["text"] for r in decode_corpus(enc, back).collect()}[1] == "banana<unk>b<unk>n"
+    # bytes without an id are never merged
+    more = train_bpe(spark.createDataFrame([("xxxx", 9), ("xan", 2)], "word string, n bigint"), 40, base_model=back)
+    assert all(0 not in x[:2] for x in more.merges) and more.alphabet == m.alphabet
+
+
+def test_a_writer_that_dies_leaves_the_old_model(spark, tmp_path, monkeypatch):
+    from tokenmill.sources import tokenizer_io as io
+    path = str(tmp_path / "tok")
+    old = BpeModel(merges=[(19 + 97, 19 + 98, 275, 1, 1)])
+    new = BpeModel(merges=[(19 + 98, 19 + 97, 275, 1, 1), (275, 19 + 97, 276, 1, 1)])
+    write_tokenizer(spark, old, path)
+    one_file = io._write_one_file
+    for dies_at in ("tokenizer_config.json", "tokenizer.json", io.MANIFEST):
+        def fail(df, folder, name):
+            if name == dies_at:
+                raise RuntimeError("the writer died")
+            one_file(df, folder, name)
+        monkeypatch.setattr(io, "_write_one_file", fail)
+        with pytest.raises(RuntimeError):
+            write_tokenizer(spark, new, path)
+        assert [m[:3] for m in read_tokenizer(spark, path).merges] == [m[:3] for m in old.merges]
+    monkeypatch.setattr(io, "_write_one_file", one_file)
+    for model in (new, old, new):
+        write_tokenizer(spark, model, path)
+        assert [m[:3] for m in read_tokenizer(spark, path).merges] == [m[:3] for m in model.merges]
+    assert len(os.listdir(f"{path}/versions")) - sum(x.startswith(".") for x in os.listdir(f"{path}/versions")) == 2
+    (version,) = {spark.read.json(f"{path}/manifest.json").first()["version"]}
+    with open(f"{path}/versions/{version}/tokenizer.json", "a") as f:
+        f.write(" ")
+    os.remove(f"{path}/versions/{version}/.tokenizer.json.crc") if os.path.exists(
+        f"{path}/versions/{version}/.tokenizer.json.crc") else None
+    with pytest.raises(ValueError):
+        read_tokenizer(spark, path)

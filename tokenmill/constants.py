@@ -19,6 +19,9 @@ SPECIAL_TOKENS_25 = [
     "<unk>", "<s>", "</s>", "<pad>", "<|im_start|>", "<|im_end|>",
 ] + SPECIAL_TOKENS_19
 
+# --- fixed value: the special that stands for bytes without an id
+UNKNOWN = "<unk>"
+
 # --- fixed values: chat markers
 CHAT_START = "<|im_start|>"
 CHAT_END = "<|im_end|>"

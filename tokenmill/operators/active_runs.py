@@ -248,12 +248,15 @@ def merge_runs(runs: list[Run], bound: tuple | None, first_id: int, room: int) -
     return out
 
 
-def next_merges(work: DataFrame, first_id: int, room: int, active: int, limit: int,
+def next_merges(work: DataFrame, first_id: int, room: int, active: int, limit: int, never: int | None = None,
                 ) -> tuple[list[tuple[int, int, int, int, int]], DataFrame, int]:
     """One round over symbol strings ``(syms, n[, doc])``: the next merges, the strings after
-    them, and how many active pairs to try next. At most ``limit`` runs are taken."""
+    them, and how many active pairs to try next. At most ``limit`` runs are taken;
+    the symbol ``never`` is not merged."""
     placed = "doc" in work.columns
     counts = pair_counts(work).filter("f >= 2")
+    if never is not None:
+        counts = counts.filter((F.col("l") != never) & (F.col("r") != never))
     order = [F.desc("f"), "doc", "pos"] if placed else [F.desc("f"), "l", "r"]
     top = counts.orderBy(*order).limit(active + 1).collect()
     while top:

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.constants import SPECIAL_TOKENS_19
+from tokenmill.constants import SPECIAL_TOKENS_19, UNKNOWN
 from tokenmill.functions.text import (
     END_MARK, MAX_SYMBOL_ID, SYM_BASE, sym, to_byte_symbols,
 )
@@ -36,24 +36,41 @@ RUN_LIMIT = 30_000                  # distinct runs that go to the driver at mos
 
 @dataclass
 class BpeModel:
-    """A trained vocabulary: specials, 256 bytes, merges in rank order.
+    """A trained vocabulary: specials, bytes, merges in rank order.
 
     ``merges`` rows are ``(left, right, new_id, freq, tokens_after)``; the
     model is bounded by the vocabulary size and is what encoders broadcast.
+    ``alphabet`` lists the bytes that have an id, in id order (``None``: all 256);
+    every other byte is the special ``<unk>``, which merges never join.
     """
 
     specials: list[str] = field(default_factory=lambda: list(SPECIAL_TOKENS_19))
     merges: list[tuple[int, int, int, int, int]] = field(default_factory=list)
     byte_offset: int | None = None
     extra_vocab: dict[int, bytes] = field(default_factory=dict)
+    alphabet: list[int] | None = None
 
     def __post_init__(self):
         if self.byte_offset is None:
             self.byte_offset = len(self.specials)
+        if self.alphabet is not None and UNKNOWN not in self.specials:
+            raise ValueError(f"a vocabulary without all bytes needs the special {UNKNOWN}")
 
     @property
     def first_merge_id(self) -> int:
-        return self.byte_offset + 256
+        return self.byte_offset + (256 if self.alphabet is None else len(self.alphabet))
+
+    @property
+    def unknown_id(self) -> int | None:
+        """Id of bytes outside the alphabet; ``None`` if there are none."""
+        return None if self.alphabet is None else self.specials.index(UNKNOWN)
+
+    def byte_ids(self) -> list[int]:
+        """The id of each of the 256 bytes."""
+        if self.alphabet is None:
+            return [self.byte_offset + b for b in range(256)]
+        place = {b: self.byte_offset + i for i, b in enumerate(self.alphabet)}
+        return [place.get(b, self.unknown_id) for b in range(256)]
 
     @property
     def vocab_size(self) -> int:
@@ -62,8 +79,9 @@ class BpeModel:
 
     def vocab_bytes(self) -> dict[int, bytes]:
         v: dict[int, bytes] = {i: s.encode("utf-8") for i, s in enumerate(self.specials)}
-        for b in range(256):
-            v[self.byte_offset + b] = bytes([b])
+        for b, i in enumerate(self.byte_ids()):
+            if i != self.unknown_id:
+                v[i] = bytes([b])
         v.update(self.extra_vocab)
         for left, right, new_id, _f, _t in self.merges:
             v[new_id] = v[left] + v[right]
@@ -75,7 +93,7 @@ class BpeModel:
     def vocab_df(self, spark: SparkSession) -> DataFrame:
         """``(id INT, bytes BINARY, kind STRING)``."""
         kinds = {i: "special" for i in range(len(self.specials))}
-        kinds.update({self.byte_offset + b: "byte" for b in range(256)})
+        kinds.update({i: "byte" for i in range(self.byte_offset, self.first_merge_id)})
         rows = [(i, bytearray(b), kinds.get(i, "merge")) for i, b in sorted(self.vocab_bytes().items())]
         return spark.createDataFrame(rows, "id int, bytes binary, kind string")
 
@@ -93,13 +111,23 @@ def base_vocab(spark: SparkSession, specials: list[str] | None = None) -> DataFr
 
 # ----------------------------------------------------------------------------- building blocks
 
+def corpus_alphabet(words: DataFrame, word_col: str = "word") -> list[int]:
+    """The distinct bytes of all words, ascending: one narrow pass and at most 256 rows a task."""
+    chars = F.regexp_extract_all(F.decode(F.encode(F.col(word_col), "UTF-8"), "ISO-8859-1"), F.lit("(?s)(.)"), F.lit(1))
+    # \x00-\xff as characters; a distinct list per word keeps the rows few
+    found = words.select(F.explode(F.array_distinct(chars)).alias("c")).distinct().collect()
+    return sorted(ord(r["c"]) for r in found)
+
+
 def words_to_symbols(words: DataFrame, word_col: str = "word", n_col: str = "n",
-                     byte_offset: int = len(SPECIAL_TOKENS_19), keep_word: bool = False) -> DataFrame:
+                     byte_offset: int = len(SPECIAL_TOKENS_19), keep_word: bool = False,
+                     byte_ids: list[int] | None = None) -> DataFrame:
     """``([word,] syms, n)`` of the words, one byte symbol per UTF-8 byte."""
     syms = to_byte_symbols(F.col(word_col))
-    if byte_offset != len(SPECIAL_TOKENS_19):
+    ids = byte_ids or [byte_offset + b for b in range(256)]
+    if ids != [len(SPECIAL_TOKENS_19) + b for b in range(256)]:
         from tokenmill.functions.text import _LATIN256
-        table = "".join(sym(byte_offset + b) for b in range(256))
+        table = "".join(map(sym, ids))
         syms = F.translate(F.decode(F.encode(F.col(word_col), "UTF-8"), "ISO-8859-1"), _LATIN256, table)
     word = [F.col(word_col).alias("word")] if keep_word else []
     return words.select(*word, syms.alias("syms"), F.col(n_col).cast("bigint").alias("n"))
@@ -148,7 +176,8 @@ def add_change(counts: DataFrame, change: DataFrame) -> DataFrame:
 def train_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = None,
               word_col: str = "word", n_col: str = "n", selection: str = "exact",
               batch: int = ACTIVE_PAIRS, checkpoint_every: int = 8,
-              base_model: BpeModel | None = None, run_limit: int = RUN_LIMIT) -> BpeModel:
+              base_model: BpeModel | None = None, run_limit: int = RUN_LIMIT,
+              alphabet: str = "all") -> BpeModel:
     """V3: learn merges from a word-count table ``(word, n)`` until the
     vocabulary has ``vocab_size`` ids or no pair occurs twice.
 
@@ -157,16 +186,20 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
     selection of the reference trainer (V4). ``base_model`` continues an
     existing vocabulary (V6): its merges are applied first. ``batch`` active
     pairs are tried in the first round; ``run_limit`` bounds the runs that
-    a round brings to the driver.
+    a round brings to the driver. ``alphabet='corpus'`` (V7) gives ids only to the
+    bytes that occur in the words; other bytes will be ``<unk>``.
     """
-    model = base_model or BpeModel(specials=list(specials or SPECIAL_TOKENS_19))
+    if alphabet not in ("all", "corpus"):
+        raise ValueError(f"unknown alphabet {alphabet!r}")
+    model = base_model or BpeModel(specials=list(specials or SPECIAL_TOKENS_19),
+                                   alphabet=corpus_alphabet(words, word_col) if alphabet == "corpus" else None)
     if vocab_size - 1 > MAX_SYMBOL_ID:
         raise ValueError(f"vocab_size {vocab_size} above the supported {MAX_SYMBOL_ID + 1}")
     if model.merges:
         from tokenmill.operators.codec import word_symbols
         work = word_symbols(words, model, word_col, n_col)
     else:
-        work = words_to_symbols(words, word_col, n_col, model.byte_offset)
+        work = words_to_symbols(words, word_col, n_col, byte_ids=model.byte_ids())
     if selection == "stale_drop":
         from tokenmill.operators.train_heap import train_stale_drop
         return train_stale_drop(work, model, vocab_size, checkpoint_every)
@@ -194,7 +227,7 @@ def train_rounds(work: DataFrame, model: BpeModel, vocab_size: int, active: int,
                   + [i + 1 for i in model.extra_vocab])
     merges, rounds = list(model.merges), 0
     while next_id < vocab_size:
-        made, work, active = next_merges(work, next_id, vocab_size - next_id, active, run_limit)
+        made, work, active = next_merges(work, next_id, vocab_size - next_id, active, run_limit, model.unknown_id)
         if not made:
             break
         for left, right, new, f, times in made:
@@ -206,6 +239,6 @@ def train_rounds(work: DataFrame, model: BpeModel, vocab_size: int, active: int,
             # a string of one symbol has no pairs and is never needed again
             work = cut_lineage(work.filter(F.length("syms") > 1))
     out = BpeModel(specials=model.specials, merges=merges, byte_offset=model.byte_offset,
-                   extra_vocab=model.extra_vocab)
+                   extra_vocab=model.extra_vocab, alphabet=model.alphabet)
     out.rounds = rounds  # type: ignore[attr-defined]
     return out

@@ -68,7 +68,7 @@ def _rounds(work: DataFrame, model, vocab_size: int, checkpoint_every: int):
             keep = []
     for d in keep:
         d.unpersist()
-    out = BpeModel(specials=model.specials, merges=merges, byte_offset=model.byte_offset,
+    out = BpeModel(specials=model.specials, merges=merges, byte_offset=model.byte_offset, alphabet=model.alphabet,
                    extra_vocab=model.extra_vocab)
     out.rounds = rounds  # type: ignore[attr-defined]
     return out

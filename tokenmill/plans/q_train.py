@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenmill.constants import FIRST_MERGE_ID, SPECIAL_TOKENS_19, SPECIAL_TOKENS_25
 from tokenmill.functions.text import pair_repr, split_lossless
 from tokenmill.operators.stats import word_freq
-from tokenmill.operators.train import BpeModel, base_vocab, train_bpe, words_to_symbols
+from tokenmill.operators.train import BpeModel, base_vocab, corpus_alphabet, train_bpe, words_to_symbols
 from tokenmill.plans import sqlparts as Q
 from tokenmill.plans.catalog import register
 from tokenmill.session import ensure_checkpoint_dir
@@ -27,20 +27,27 @@ SMALL_VOCAB = FIRST_MERGE_ID + MODEL_K
 FIRST_ID_25 = len(SPECIAL_TOKENS_25) + 256
 
 
-def merges_sql(words_sql: str, k: int, first_id: int = FIRST_MERGE_ID, preset_cte: str | None = None,
-               preset_k: int = 0, prefix: str = "", offset: int = 19) -> tuple[str, str]:
+def merges_sql(words_sql: str, k: int, first_id: int | str = FIRST_MERGE_ID, preset_cte: str | None = None,
+               preset_k: int = 0, prefix: str = "", offset: int = 19, alphabet_cte: str | None = None) -> tuple[str, str]:
     """CTE text for k training rounds over ``words_sql`` (columns word, n).
 
     Words are strings ``<id><id>...``; a merge is a ``replace`` of
     ``<a><b>`` by ``<n>``. The ``preset_k`` merges of the CTE ``preset_cte``
     (columns rank, left, right, new_id) are applied first, in rank order.
+    The CTE ``alphabet_cte`` (a list ``bs`` of bytes) gives ids ``offset``, ... to its bytes
+    and 0 to others; ``first_id`` can then be an SQL expression.
     Returns (ctes, name of the merges CTE); the words after all merges are in
     the CTE ``<prefix>done`` (columns word, n, s).
     """
     x = prefix
+    ids, source = Q.byte_ids("word", offset), f"{x}w"
+    if alphabet_cte:
+        byte = "('0x' || x)::int"
+        ids = (f"list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda x: case when list_contains(bs, {byte}) "
+               f"then {offset - 1} + list_position(bs, {byte}) else 0 end)")
+        source += f", {alphabet_cte}"
     ctes = [f"{x}w as materialized ({words_sql})",
-            f"{x}r0 as materialized (select word, n, '<' || array_to_string({Q.byte_ids('word', offset)}, '><') || '>' as s "
-            f"from {x}w)"]
+            f"{x}r0 as materialized (select word, n, '<' || array_to_string({ids}, '><') || '>' as s from {source})"]
     last = f"{x}r0"
     for j in range(preset_k):
         pat = f"(select '<' || \"left\" || '><' || \"right\" || '>' from {preset_cte} where rank = {j})"
@@ -57,8 +64,8 @@ def merges_sql(words_sql: str, k: int, first_id: int = FIRST_MERGE_ID, preset_ct
             f"group by 1, 2 having sum(n) >= 2 order by f desc, a, b limit 1)")
         ctes.append(
             f"{x}r{i + 1}x as materialized (select word, n, replace(s, coalesce((select '<' || a || '><' || b || '>' "
-            f"from {x}p{i}), '<none>'), '<{first_id + i}>') as s from {cur})")
-        sel.append(f"select {preset_k + i} as rank, a as \"left\", b as \"right\", {first_id + i} as new_id, "
+            f"from {x}p{i}), '<none>'), '<' || ({first_id} + {i}) || '>') as s from {cur})")
+        sel.append(f"select {preset_k + i} as rank, a as \"left\", b as \"right\", ({first_id} + {i})::int as new_id, "
                    f"f as freq, (select sum(n * (length(s) - length(replace(s, '<', ''))))::bigint "
                    f"from {x}r{i + 1}x) as tokens_after from {x}p{i}")
         last = f"{x}r{i + 1}x"
@@ -280,8 +287,7 @@ LOSSLESS_CTES, LOSSLESS_M = merges_sql(LOSSLESS_WORDS_SQL, LOSSLESS_K, first_id=
 
 
 def train_lossless(spark, sf) -> BpeModel:
-    docs = read_table(spark, sf, "documents")
-    words = docs.select(F.explode(split_lossless("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = lossless_words(read_table(spark, sf, "documents"))
     return train_bpe(words, FIRST_ID_25 + LOSSLESS_K, specials=list(SPECIAL_TOKENS_25))
 
 
@@ -291,6 +297,61 @@ def v7_train_lossless(spark, sf):
     return train_lossless(spark, sf).merges_df(spark)
 
 
+def alphabet_sql(words_sql: str, name: str) -> str:
+    """A CTE with the list ``bs`` of the distinct bytes of all words."""
+    return (f"{name} as materialized (select list(b order by b) as bs from (select distinct ('0x' || x)::int as b from "
+            f"(select unnest(regexp_extract_all(hex(encode(word)), '..')) as x from ({words_sql}))))")
+
+
+ALPHABET_FIRST = f"((select len(bs) from {{}}) + {len(SPECIAL_TOKENS_25)})"
+_alpha_ctes, ALPHABET_M = merges_sql(LOSSLESS_WORDS_SQL, LOSSLESS_K, first_id=ALPHABET_FIRST.format("alpha"), prefix="a_",
+                                     offset=len(SPECIAL_TOKENS_25), alphabet_cte="alpha")
+ALPHABET_CTES = alphabet_sql(LOSSLESS_WORDS_SQL, "alpha") + ",\n" + _alpha_ctes
+
+
+def lossless_words(docs):
+    return docs.select(F.explode(split_lossless("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("V7_train_corpus_alphabet", f"with {ALPHABET_CTES}\nselect {MERGE_COLUMNS} from {ALPHABET_M}")
+def v7_train_alphabet(spark, sf):
+    """Lossless-split words, 25 specials, ids only for the bytes that the documents have."""
+    words = lossless_words(read_table(spark, sf, "documents"))
+    size = len(SPECIAL_TOKENS_25) + len(corpus_alphabet(words)) + LOSSLESS_K
+    return train_bpe(words, size, specials=list(SPECIAL_TOKENS_25), alphabet="corpus").merges_df(spark)
+
+
+ENGLISH_WORDS_SQL = LOSSLESS_WORDS_SQL.replace("from documents", "from documents where lang = 'en'")
+_en_ctes, _en_m = merges_sql(ENGLISH_WORDS_SQL, MODEL_K, first_id=ALPHABET_FIRST.format("en"), prefix="e_",
+                             offset=len(SPECIAL_TOKENS_25), alphabet_cte="en")
+_all_ctes, _ = merges_sql(LOSSLESS_WORDS_SQL, 0, preset_cte=_en_m, preset_k=MODEL_K, prefix="u_",
+                          offset=len(SPECIAL_TOKENS_25), alphabet_cte="en")
+
+
+@register("V7_encode_unseen_bytes", f"""with {alphabet_sql(ENGLISH_WORDS_SQL, "en")},
+{_en_ctes},
+{_all_ctes},
+t as (select doc_id, unnest({Q.lossless('text')}) as word, generate_subscripts({Q.lossless('text')}, 1) as pos from documents),
+p as (select doc_id, string_agg(s[2:-2], '><' order by pos) as s from t join u_done using (word) group by doc_id)
+select doc_id, coalesce(len(string_split(s, '><')), 0)::bigint as num_tokens,
+       coalesce(len(list_filter(string_split(s, '><'), lambda x: x = '0')), 0)::bigint as n_unknown,
+       coalesce(replace(s, '><', ' '), '') as ids
+from documents left join p using (doc_id)""")
+def v7_encode_unseen(spark, sf):
+    """All documents by a tokenizer whose alphabet is that of the English ones, saved and
+    loaded: bytes that these do not have are ``<unk>``."""
+    from tokenmill.operators.codec import encode_corpus
+    docs = read_table(spark, sf, "documents")
+    words = lossless_words(docs.filter("lang = 'en'"))
+    size = len(SPECIAL_TOKENS_25) + len(corpus_alphabet(words)) + MODEL_K
+    path = _scratch(spark, "tokenizer")
+    write_tokenizer(spark, train_bpe(words, size, specials=list(SPECIAL_TOKENS_25), alphabet="corpus"), path, "documents")
+    enc = encode_corpus(docs, read_tokenizer(spark, path), mode="ranked", splitter="lossless")
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("num_tokens"),
+                      F.size(F.filter("ids", lambda i: i == 0)).cast("bigint").alias("n_unknown"),
+                      F.array_join("ids", " ").alias("ids"))
+
+
 @register("S4_roundtrip_25_specials", f"""with {LOSSLESS_CTES}
 select rank, "left", "right", new_id, 25 as byte_offset, 25 as n_special from {LOSSLESS_M}""")
 def s4_roundtrip_25(spark, sf):
