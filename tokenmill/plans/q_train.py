@@ -224,6 +224,31 @@ def v6_extend(spark, sf):
     return more.merges_df(spark)
 
 
+CHUNK_K, CHUNKS = 16, ("de", "en", "es", "fr")
+
+
+def chunks_sql(k: int, chunks: tuple[str, ...]) -> str:
+    """Chunk after chunk: the words of all chunks so far, the merges so far, k more."""
+    ctes, so_far = [], None
+    for j in range(len(chunks)):
+        langs = ", ".join(f"'{c}'" for c in chunks[:j + 1])
+        words = WORDS_SQL.replace("from documents", f"from documents where lang in ({langs})")
+        text, m = merges_sql(words, k, first_id=FIRST_MERGE_ID + j * k, preset_cte=so_far, preset_k=j * k, prefix=f"c{j}_")
+        ctes += [text, f"so_far{j} as (" + (f"select * from {so_far} union all " if so_far else "") + f"select * from {m})"]
+        so_far = f"so_far{j}"
+    return "with " + ",\n".join(ctes) + f"\nselect rank, \"left\", \"right\", new_id from {so_far}"
+
+
+@register("V6_train_chunks", chunks_sql(CHUNK_K, CHUNKS))
+def v6_train_chunks(spark, sf):
+    """The documents arrive language by language; every chunk adds its counts and 16 merges."""
+    from tokenmill.streaming.train_chunks import train_chunk
+    docs, folder, model = read_table(spark, sf, "documents"), _scratch(spark, "chunks"), None
+    for i, lang in enumerate(CHUNKS):
+        model = train_chunk(word_freq(docs.filter(F.col("lang") == lang)), i, folder, FULL_VOCAB, CHUNK_K)
+    return model.merges_df(spark).select("rank", "left", "right", "new_id")
+
+
 def _scratch(spark, name: str) -> str:
     """A fresh folder under the session's (shared) checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
