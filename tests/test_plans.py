@@ -26,3 +26,16 @@ def test_stream_pairs_hash_before_they_sort(spark):
     plan = stream_pair_freq(df)._jdf.queryExecution().executedPlan().toString()
     lines = [x for x in plan.split("\n") if "Aggregate" in x]
     assert "HashAggregate" in lines[-1] and "HashAggregate" in lines[-2]
+
+
+def test_approximate_summary(spark):
+    from tokenmill.operators.stats import corpus_stats, corpus_stats_approx, pair_freq, word_freq
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    freq = word_freq(docs)
+    exact = corpus_stats(docs, docs, freq, pair_freq(freq)).first().asDict()
+    for by in (None, "lang"):
+        near = corpus_stats_approx(docs, docs, by=by).first().asDict()
+        for c, v in exact.items():
+            assert abs(near[c] - v) <= (0.03 * v if c.startswith("distinct") else 0), (by, c)
+    assert corpus_stats_approx(docs.limit(0), docs.limit(0)).first().asDict() == {
+        "articles_read": 0, "articles_kept": 0, "distinct_words": 0, "total_tokens": 0, "distinct_pairs": 0}

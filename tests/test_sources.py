@@ -116,3 +116,18 @@ def test_a_writer_that_dies_leaves_the_old_model(spark, tmp_path, monkeypatch):
         f"{path}/versions/{version}/.tokenizer.json.crc") else None
     with pytest.raises(ValueError):
         read_tokenizer(spark, path)
+
+
+def test_splits_are_pruned(spark, tmp_path):
+    rows = [(i, f"text {i}", "train" if i % 3 else "test") for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, split string").write.partitionBy("split").parquet(str(tmp_path / "c"))
+    test = read_corpus(spark, str(tmp_path / "c"), split="test")
+    assert sorted(r["doc_id"] for r in test.collect()) == list(range(0, 30, 3))
+    scan = [x for x in test._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in x][-1]
+    assert "= test" in scan.split("PartitionFilters")[1].split("]")[0]
+    files = read_corpus(spark, str(tmp_path / "c"), split="test", id_col=None)
+    assert sorted(r["text"] for r in files.collect()) == sorted(f"text {i}" for i in range(0, 30, 3))
+    assert read_corpus(spark, str(tmp_path / "c"), split="none").collect() == []
+    assert len(read_corpus(spark, str(tmp_path / "c"), split="train", max_examples=4).collect()) == 4
+    with pytest.raises(ValueError):
+        read_corpus(spark, "/root/testdata/sf0.001/documents.parquet", split="train")

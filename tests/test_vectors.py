@@ -55,3 +55,23 @@ def test_causal_history_matches_numpy(spark):
                 s = x[lo: i + 1] @ x[i] / math.sqrt(6)
                 w = np.exp(s - s.max())
                 assert np.allclose(got[(e, t)], (w / w.sum()) @ x[lo: i + 1])
+
+
+def test_hot_tokens_are_looked_up_apart(spark):
+    from tokenmill.operators.vectors import embed_tokens, frequent_ids
+    rng = random.Random(2)
+    table = spark.createDataFrame([(i, [float(i), -float(i)]) for i in range(2000)], "token_id int, vec array<float>")
+    docs = [(d, [7 if rng.random() < 0.35 else rng.randrange(2100) for _ in range(400)] + [None]) for d in range(50)]
+    tokens = spark.createDataFrame(docs, "doc_id long, ids array<int>")
+    got = embed_tokens(tokens, table, broadcast_bytes=0)
+    want = sorted((d, p, i, [float(i), -float(i)] if i is not None and i < 2000 else None)
+                  for d, ids in docs for p, i in enumerate(ids))
+    assert sorted(((r["doc_id"], r["pos"], r["token_id"], r["vec"]) for r in got.collect()), key=str) == sorted(want, key=str)
+    pos = tokens.select("doc_id", F.posexplode("ids").alias("pos", "token_id"))
+    assert frequent_ids(pos) == [7]
+    spread = pos.filter("token_id <> 7").repartition(8, "token_id").groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in spread)
+    assert sizes[-1] < 1.5 * sizes[len(sizes) // 2]
+    even = spark.createDataFrame([(0, list(range(2000)))], "doc_id long, ids array<int>")
+    assert frequent_ids(even.select("doc_id", F.posexplode("ids").alias("pos", "token_id"))) == []
+    assert embed_tokens(even, table, broadcast_bytes=0).count() == 2000

@@ -16,20 +16,42 @@ from tokenmill.operators.prefix import running_totals
 BROADCAST_BYTES = 64 << 20
 
 
+HOT_IDS = 1024          # frequent ids that are looked up by broadcast, at most
+
+
 def embed_tokens(tokens: DataFrame, table: DataFrame, ids_col: str = "ids", key: str = "doc_id",
-                 table_id: str = "token_id", vec_col: str = "vec") -> DataFrame:
+                 table_id: str = "token_id", vec_col: str = "vec", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """M2: one row per token position: ``(key, pos, token_id, vec)``.
 
     The embedding table has one row per vocabulary id. It is broadcast when
-    its measured size (rows x dims x 4 bytes) is under 64 MiB; otherwise the
-    lookup is a shuffle join (adaptive execution splits hot tokens).
+    its measured size (rows x dims x 4 bytes) is at most ``broadcast_bytes``. Otherwise
+    the ids that have more positions than a quarter of an even partition are measured
+    (few by definition, and at most ``HOT_IDS`` rows of the table): they are looked up in a broadcast
+    of these rows alone, all other positions by a shuffle join.
     """
     pos = tokens.select(F.col(key).alias(key), F.posexplode(ids_col).alias("pos", "token_id"))
     t = table.select(F.col(table_id).cast("int").alias("token_id"), F.col(vec_col).alias("vec"))
     stats = t.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
     est = (stats["n"] or 0) * (stats["d"] or 0) * 4
-    side = F.broadcast(t) if est <= BROADCAST_BYTES else t
-    return pos.join(side, "token_id", "left").select(key, "pos", "token_id", "vec")
+    columns = (key, "pos", "token_id", "vec")
+    if est <= broadcast_bytes:
+        return pos.join(F.broadcast(t), "token_id", "left").select(*columns)
+    hot = frequent_ids(pos)
+    if not hot:
+        return pos.join(t, "token_id", "left").select(*columns)
+    is_hot = F.coalesce(F.col("token_id").isin(hot), F.lit(False))
+    often = pos.filter(is_hot).join(F.broadcast(t.filter(is_hot)), "token_id", "left").select(*columns)
+    return often.unionByName(pos.filter(~is_hot).join(t.filter(~is_hot), "token_id", "left").select(*columns))
+
+
+def frequent_ids(pos: DataFrame, id_col: str = "token_id", limit: int = HOT_IDS) -> list[int]:
+    """Ids with over a quarter of the positions that a shuffle partition would get if all were even."""
+    parts = int(pos.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = pos.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    many = counts.agg(total).first()[0] / (4 * parts)
+    rows = counts.filter(F.col("n") > many).orderBy(F.desc("n"), id_col).limit(limit).collect()
+    return [r[id_col] for r in rows]
 
 
 def softmax_over(df: DataFrame, keys: list[str], score: str, out: str = "weight") -> DataFrame:

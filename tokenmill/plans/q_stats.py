@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenmill.operators.stats import (
-    corpus_stats, cross_entropy, metric_rollup, pair_freq, stream_pair_freq,
+    corpus_stats, corpus_stats_approx, cross_entropy, metric_rollup, pair_freq, stream_pair_freq,
     top_pairs, top_words, training_documents, word_freq,
 )
 from tokenmill.plans import sqlparts as Q
@@ -61,6 +61,22 @@ def a2_corpus_stats(spark, sf):
     return corpus_stats(docs, kept, freq, pair_freq(freq))
 
 
+@register("A2_corpus_stats_approx", f"""
+select (select count(*) from documents)::bigint as articles_read,
+       (select sum(n) from {WORDS_SQL})::bigint as total_tokens, true as words_within, true as pairs_within
+""")
+def a2_corpus_stats_approx(spark, sf):
+    """The summary from one sketch per source; both estimates held against the exact counts (3 %)."""
+    docs = read_table(spark, sf, "documents")
+    freq = word_freq(docs)
+    exact = corpus_stats(docs, docs, freq, pair_freq(freq)).select(
+        F.col("distinct_words").alias("w"), F.col("distinct_pairs").alias("p"))
+    near = corpus_stats_approx(docs, docs, by="source")
+    return near.crossJoin(exact).select(       # one row each
+        "articles_read", "total_tokens", (F.abs(F.col("distinct_words") - F.col("w")) * 100 <= 3 * F.col("w")).alias("words_within"),
+        (F.abs(F.col("distinct_pairs") - F.col("p")) * 100 <= 3 * F.col("p")).alias("pairs_within"))
+
+
 @register("A3_pair_freq", f'select "left", "right", freq from {PAIRS_SQL}')
 def a3_pair_freq(spark, sf):
     return pair_freq(word_freq(read_table(spark, sf, "documents")))

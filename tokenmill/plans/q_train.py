@@ -19,7 +19,7 @@ from tokenmill.plans import sqlparts as Q
 from tokenmill.plans.catalog import register
 from tokenmill.session import ensure_checkpoint_dir
 from tokenmill.sources.corpus import read_table
-from tokenmill.sources.tokenizer_io import read_tokenizer, read_tokenizer_tables, tokenizer_exists, write_tokenizer
+from tokenmill.sources.tokenizer_io import TOKENIZER_SCHEMA, read_tokenizer, read_tokenizer_tables, tokenizer_exists, write_tokenizer
 
 TRAIN_K = 64       # merges of the registered exact training
 MODEL_K = 32       # merges of the model that encode, window and statistics queries use
@@ -192,6 +192,38 @@ def v8_merge_log(spark, sf):
                                         F.hex("lb").alias("left_hex"), F.hex("rb").alias("right_hex"))
 
 
+def printable_sql(hexes: str) -> str:
+    """The printable form of bytes given as hex digits (see the fixed ranges in ``constants``)."""
+    b = "('0x' || x)::int"
+    return (f"array_to_string(list_transform(regexp_extract_all({hexes}, '..'), lambda x: chr(case when {b} < 33 then 256 + {b} "
+            f"when {b} between 127 and 160 then 162 + {b} when {b} = 173 then 323 else {b} end)), '')")
+
+
+_special_rows = " union all ".join(f"select {i} as id, '{t}' as form" for i, t in enumerate(SPECIAL_TOKENS_19))
+
+
+@register("S3_tokenizer_file", f"""with recursive {MODEL_CTES},
+parts(id, rest) as (select new_id, '<' || "left" || '><' || "right" || '>' from {MODEL_M}
+  union all select p.id, replace(p.rest, '<' || m.new_id || '>', '<' || m."left" || '><' || m."right" || '>')
+  from parts p join {MODEL_M} m on m.new_id = (select max(y::int) from unnest(string_split(p.rest[2:-2], '><')) u(y))),
+bytes as (select id, array_to_string(list_transform(string_split(rest[2:-2], '><'),
+            lambda x: lpad(to_hex(x::int - 19), 2, '0')), '') as h from parts
+          where list_max(list_transform(string_split(rest[2:-2], '><'), lambda x: x::int)) < {FIRST_MERGE_ID}
+          union all select 19 + range::int, lpad(to_hex(range), 2, '0') from range(256)),
+forms as (select id, {printable_sql('h')} as form from bytes)
+select 'vocab' as part, id::int as place, form as line from forms union all select 'vocab', id, form from ({_special_rows})
+union all select 'merge', rank::int, l.form || ' ' || r.form from {MODEL_M} join forms l on l.id = "left" join forms r on r.id = "right"
+""")
+def s3_tokenizer_file(spark, sf):
+    """Every vocabulary entry and merge line of the written tokenizer file itself."""
+    path = _scratch(spark, "tokenizer")
+    write_tokenizer(spark, train_bpe(word_freq(read_table(spark, sf, "documents")), SMALL_VOCAB), path, "documents")
+    doc = spark.read.schema(TOKENIZER_SCHEMA).option("multiLine", "true").json(f"{path}/tokenizer.json")
+    vocab = doc.select(F.explode("model.vocab").alias("line", "place")).select(F.lit("vocab").alias("part"), "place", "line")
+    return vocab.unionByName(doc.select(F.posexplode("model.merges").alias("place", "line")).select(
+        F.lit("merge").alias("part"), "place", "line"))
+
+
 def _with_bytes(spark, m: BpeModel):
     vocab = m.vocab_df(spark).select("id", "bytes")
     lv = vocab.select(F.col("id").alias("left"), F.col("bytes").alias("lb"))

@@ -28,18 +28,31 @@ t as (select item_id, {Q.byte_ids("array_to_string(" + Q.pretokens('text') + ",
 u as (select item_id, generate_subscripts(l, 1) - 1 as pos, unnest(l) as token_id from t)"""
 
 
-@register("M2_embed_tokens", f"""with {_SEQUENCES_SQL}
+M2_SQL = f"""with {_SEQUENCES_SQL}
 select item_id, pos::int as pos, token_id::int as token_id,
        array_to_string(list_transform(e.embedding, lambda x: round(x::double * 1000000)::bigint), ' ') as vec
 from u left join embeddings e on e.vec_id = u.token_id
-""")
-def m2_embed(spark, sf):
-    """Byte-level ids of the benchmark texts looked up in the embedding table, whole vectors (in millionths)."""
-    e = embed_tokens(_sequences(spark, sf), _table(spark, sf), "ids", key="item_id")
+"""
+
+
+def _looked_up(spark, sf, **limit):
+    e = embed_tokens(_sequences(spark, sf), _table(spark, sf), "ids", key="item_id", **limit)
     whole = F.transform("vec", lambda x: F.round(x.cast("double") * 1000000).cast("bigint"))
     return e.select("item_id", "pos", "token_id", F.array_join(whole, " ").alias("vec"))
 
 
+@register("M2_embed_tokens", M2_SQL)
+def m2_embed(spark, sf):
+    """Byte-level ids of the benchmark texts looked up in the embedding table, whole vectors (in millionths)."""
+    return _looked_up(spark, sf)
+
+
+@register("M2_embed_hot_tokens", M2_SQL)
+def m2_embed_hot(spark, sf):
+    """The same where the table is not to be broadcast: frequent ids apart from the others."""
+    return _looked_up(spark, sf, broadcast_bytes=0)
+
+
 def _sequences(spark, sf):
     return read_table(spark, sf, "benchmark").select(
         "item_id", word_ids(F.array_join(pre_tokenize("text"), "")).alias("ids"))

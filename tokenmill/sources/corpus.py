@@ -41,7 +41,8 @@ def _file_order_ids(df: DataFrame, columns: list) -> DataFrame:
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
                 text_col: str = "text", title_col: str | None = None,
                 id_col: str | None = "doc_id",
-                max_examples: int | None = None) -> DataFrame:
+                max_examples: int | None = None, split: str | None = None,
+                split_col: str = "split") -> DataFrame:
     """Load a corpus as ``(doc_id BIGINT, title STRING, text STRING)``.
 
     ``fmt`` is any Spark file format (parquet, json, orc, csv, text). For
@@ -49,6 +50,11 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
     numbered from 0 in file order. ``max_examples`` keeps the first N
     documents by id (``None`` or 0 = all); asking for more than exist
     returns them all. Only ids take part in finding the N-th one.
+
+    ``split`` reads one split of a corpus folder that is partitioned by
+    ``split_col`` (``split=train/``, ``split=test/``, ...): a partition filter, so files
+    of other splits are never opened. A table that has ``split_col`` as a plain
+    column is filtered by it; a corpus without it is refused.
     """
     reader = spark.read.format(fmt)
     if fmt == "json":
@@ -56,6 +62,10 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "csv":
         reader = reader.option("header", "true")
     df = reader.load(path)
+    if split is not None:
+        if split_col not in df.columns:
+            raise ValueError(f"{path} has no splits: there is no column {split_col!r}")
+        df = df.filter(F.col(split_col) == split)
     if fmt == "text":
         text_col = "value"
     title = (F.col(title_col).cast("string") if title_col and title_col in df.columns
