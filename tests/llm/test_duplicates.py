@@ -205,3 +205,63 @@ def test_longest_previous_factor_equals_definition():
         later = np.empty(n, np.int64)
         later[order] = sd.longest_previous_factor(-np.array(order), common)
         assert later.tolist() == [max([0, *(shared(i, j) for j in range(i + 1, n))]) for i in range(n)]
+
+
+def family(rng, n_words, changes):
+    """Variants of one text; each changes its own share of the words."""
+    base = [rng.choice(WORDS) for _ in range(n_words)]
+    out = []
+    for share in changes:
+        t = list(base)
+        for k in rng.sample(range(n_words), int(share * n_words)):
+            t[k] = f"own{rng.random()}"
+        out.append(" ".join(t))
+    return out
+
+
+def test_later_rounds_find_what_stars_miss(spark, documents, monkeypatch):
+    """All texts in one bucket: its star around the smallest id finds next to nothing, so the
+    links are left to the second and the third round."""
+    import numpy as np
+    monkeypatch.setattr(mh, "band_keys", lambda m: np.zeros((len(m), 1), np.int64))
+    rng = random.Random(10)
+    # near variants link to the smallest id, others only to those, and another family not at all
+    texts = family(rng, 200, [0.04] + [0.005] * 8 + [0.04] * 6) + family(rng, 90, [0.02] * 4 + [0.12] * 6)
+    shared = texts[0].split()[:110]
+    texts += [" ".join(shared + [f"x{i}" for i in range(k)]) for k in (2, 12, 22, 24, 26, 60)]
+    calls = []
+    confirm = mh.confirm
+    monkeypatch.setattr(mh, "confirm", lambda *a: calls.append(1) or confirm(*a))
+    got = {r["doc_id"]: r for r in mh.near_duplicates(documents(texts), 2).collect()}
+    want = brute_components(texts, 2)
+    assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == want
+    assert len(calls) == 3                                 # stars, fresh partners, all that is left
+
+
+def odd_columns(spark, texts):
+    """Legal columns that are unlike those of ``documents``."""
+    import datetime
+    from decimal import Decimal
+    schema = ("doc_id bigint, text string, `my col` string, price decimal(10,2), before string, _before int, spans string, "
+              "_spans array<int>, id int, _id int, gone string, day date, more struct<`a b`: int, c: array<string>>, n_chars int")
+    rows = [(i, t, "x", Decimal("1.25"), "b", 1, "s", [1], 2, 3, "g", datetime.date(2024, 1, 2), (1, ["y"]), 0)
+            for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, schema)
+
+
+def test_stages_take_any_columns(spark):
+    import corpus_pipeline
+    rng = random.Random(3)
+    prose = [" ".join(prose_line(rng) for _ in range(6)) for _ in range(6)]
+    docs = odd_columns(spark, [*prose, prose[0], prose[1] + " Something more stands here.", None, ""])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.dtypes == docs.dtypes, name
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert got and all(r["my col"] == "x" and str(r["price"]) == "1.25" and r["more"]["a b"] == 1 and r["_spans"] == [1]
+                           and r["gone"] == "g" for r in got.values()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 10
+
+
+def prose_line(rng):
+    return " ".join(rng.choice(WORDS) for _ in range(12)).capitalize() + "."

@@ -33,7 +33,9 @@ that adaptive execution can split, no group is collected.
 Defined cases: null or empty texts and texts without words have an empty set
 and link with nothing; rows with a null id get their counts, no component
 (null) and stay; rows that share an id act as one node; with fewer words than
-a shingle the whole word sequence is the only shingle; other columns are
+a shingle the whole word sequence is the only shingle; a very long text is one
+sorted array of hashes and, where it is confirmed, one set of shingles; equal
+sets are one representative, so ties have no effect; other columns are
 ignored, whatever their names; an empty table gives an empty table.
 """
 
@@ -219,14 +221,22 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return map_batches(both, run, "a bigint, b bigint")
 
 
+TASK_EDGES = 100_000        # edges that one task of a component round takes at least, if there are as many
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``(a, b)`` edges; root is the smallest
     node that can be reached. Alternating large-star and small-star rounds:
     each node's neighbours are tied to the smallest of them until every
-    component is a star around its root."""
+    component is a star around its root. Tasks follow the number of edges, so a few
+    edges do not leave a file in every partition of every round."""
     edges = cut_lineage(_oriented(edges))
     while True:
         mark = _fingerprint(edges)
+        if not mark[0]:
+            break
+        tasks = -(-mark[0] // TASK_EDGES)
+        edges = _few(edges, tasks)
         for larger in (True, False):
             if larger:
                 near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -239,13 +249,18 @@ def components(edges: DataFrame) -> DataFrame:
             else:
                 edges = tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
                     low.select("a", F.col("m").alias("b")))
-            edges = _oriented(edges)
-        edges = cut_lineage(edges)
+            edges = _oriented(_few(edges, tasks))
+        edges = cut_lineage(_few(edges, tasks))
         if _fingerprint(edges) == mark:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _few(df: DataFrame, tasks: int) -> DataFrame:
+    """The rows in at most so many tasks; more than a thousand are left to Spark."""
+    return df.coalesce(tasks) if tasks < 1000 else df
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     return (edges.filter(F.col("a") != F.col("b"))
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -312,8 +327,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         fresh = cut_lineage(fresh.join(tried, ["a", "b"], "left_anti"))
         if fresh.take(1):
             tried = tried.unionByName(fresh)
-            links = links.unionByName(confirmed(fresh))
-            roots = components(links)
+            more = confirmed(fresh)
+            if more.take(1):
+                links = links.unionByName(more)
+                roots = components(links)
     owner = (sets.join(roots, sets["rep"] == roots["node"], "left")
              .select("f1", "f2", F.coalesce("root", "rep").alias("component_id")))
     out = sigs.select("doc_id", "n_shingles", "f1", "f2").join(owner, ["f1", "f2"], "left")

@@ -39,7 +39,7 @@ from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_byte
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 200_000       # per worker and cache
+CACHE_WORDS = 500_000       # per worker and cache
 
 
 # ------------------------------------------------------------------ 1: token ids and pieces
