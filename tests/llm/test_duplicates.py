@@ -223,7 +223,7 @@ def test_later_rounds_find_what_stars_miss(spark, documents, monkeypatch):
     """All texts in one bucket: its star around the smallest id finds next to nothing, so the
     links are left to the second and the third round."""
     import numpy as np
-    monkeypatch.setattr(mh, "band_keys", lambda m: np.zeros((len(m), 1), np.int64))
+    monkeypatch.setattr(mh, "band_keys", lambda m: np.full((len(m), 1), 4, np.int64))   # partner: id 6
     rng = random.Random(10)
     # near variants link to the smallest id, others only to those, and another family not at all
     texts = family(rng, 200, [0.04] + [0.005] * 8 + [0.04] * 6) + family(rng, 90, [0.02] * 4 + [0.12] * 6)
