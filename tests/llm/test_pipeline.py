@@ -1,4 +1,6 @@
 import random
+import re
+import textwrap
 from collections import defaultdict
 
 import public_tokenizers as P
@@ -6,7 +8,7 @@ from llm_odd import ODD, documents, random_text  # noqa: F401
 from test_duplicates import brute_components, brute_lines, brute_repeats
 
 import corpus_pipeline
-from tokenmill.llm import quality_rules
+from test_codec_rules import brute_quality
 
 
 def sentences(rng, n):
@@ -20,15 +22,25 @@ def sentences(rng, n):
 def corpus():
     rng = random.Random(8)
     shared = sentences(rng, 9)
+    # one-line passages between the stage's length and that of the ninth operator
+    passages = [" ".join(sentences(rng, n)) for n in (4, 5, 6)]
+    assert all(corpus_pipeline.PASSAGE_BYTES < len(p) < 400 for p in passages)
     texts = list(ODD)
-    for _ in range(25):
+    for k in range(25):
         s = sentences(rng, rng.randint(2, 20))
         if rng.random() < 0.4:
             at = rng.randrange(len(s))
             s[at:at] = shared
+        if rng.random() < 0.4:
+            s.insert(rng.randrange(len(s)), rng.choice(passages))
         if rng.random() < 0.3:
             s.insert(0, "Home | About | Help | Contact")
+        if rng.random() < 0.3:
+            s += [rng.choice(["Read more: click here!", "wow!! such!! deals!!", "a line of words that never ends",
+                              "Those who want to read more about it will find all of it in the old book."])]
         texts.append(rng.choice(["\n", " "]).join(s))
+        if k % 6 == 0:
+            texts.append(textwrap.fill(" ".join(s), 72))
         if rng.random() < 0.4:
             words = texts[-1].split(" ")
             words[rng.randrange(len(words))] = "changed"
@@ -38,14 +50,61 @@ def corpus():
     return texts + [random_text(s) for s in range(20)]
 
 
+SEPS, CLOSING = set("|»›•>"), ".!?…:;\"'”’»)]}"
+PHRASES = ("cookie policy|privacy policy|terms of use|terms of service|all rights reserved|enable javascript|lorem ipsum|"
+           "click here|read more|sign up for|log in to|share this|subscribe to our")
+
+
+def plain_words(text):
+    return [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+
+
+def plain_quality(text):
+    """The first stage from its rules: the text without failing lines, or None."""
+    lines = text.split("\n")
+    words = [plain_words(x) for x in lines]
+    fails = []
+    for line, w in zip(lines, words):
+        seps = sum(x in SEPS for x in w)
+        noise = sum(bool(re.search(r"!!|[%*#$&]{3}", x)) for x in w)
+        phrases = sum(len(p.split()) for p in re.findall(rf"\b(?:{PHRASES})\b", line.lower()))
+        fails.append(bool(w) and (seps >= 2 and 5 * seps >= len(w) or 3 * noise > len(w) or phrases > 0 and 4 * phrases >= len(w)))
+    groups, block = [], []
+    for i, w in enumerate([*words, []]):             # blocks between lines without words
+        if w:
+            block.append(i)
+            continue
+        width = max([len(lines[k].strip()) for k in block], default=0)
+        for k in block:
+            goes_on = (groups and groups[-1][-1] == k - 1 and k - 1 in block and 40 <= width <= 120
+                       and words[k - 1][-1][-1] not in CLOSING and len(lines[k - 1].strip()) + 1 + len(words[k][0]) > width)
+            if goes_on:
+                groups[-1].append(k)
+            else:
+                groups.append([k])
+        block = []
+    for g in groups:
+        w = [x for k in g for x in words[k]]
+        if len(w) >= 4 and w[-1][-1] not in CLOSING:
+            ends = [i + 1 for i, x in enumerate(w) if re.search(r"[.!?…][\"'”’»)\]}]?$", x)]
+            if 2 * (len(w) - max(ends, default=0)) > len(w):
+                for k in g:
+                    fails[k] = True
+    n, *_, base_failed = brute_quality(text)
+    lost = sum(len(w) for w, f in zip(words, fails) if f)
+    if base_failed or 2 * lost > n:
+        return None
+    return "\n".join(x for x, f in zip(lines, fails) if not f)
+
+
 def brute(texts):
-    rows = [(i, quality_rules.judge((t or "").encode())) for i, t in enumerate(texts)]
-    docs = [(i, r[8].decode()) for i, r in rows if r[7]]
+    docs = [(i, q) for i, t in enumerate(texts) if (q := plain_quality(t or "")) is not None]
     lines = brute_lines(docs)
     docs = [(i, lines[i][2].decode()) for i, _ in docs]
     roots = brute_components([t for _, t in docs], 5)
     docs = [d for k, d in enumerate(docs) if roots[k][1] == k]
-    gone = brute_repeats(docs, 400, "first")
+    gone = brute_repeats(docs, corpus_pipeline.PASSAGE_BYTES, "first")
+    assert any(gone.values())
     return {i: bytes(c for j, c in enumerate(t.encode()) if j not in gone[i]).decode(errors="ignore") for i, t in docs}
 
 
