@@ -13,7 +13,9 @@ from the broadcast rank file (bounded by the vocabulary) and keeps bounded
 caches of pieces.
 
 Defined cases: null text encodes to an empty list and decodes to empty
-bytes; ids, repeated rows and empty tables pass through row by row.
+bytes; null ids, repeated rows and empty tables pass through row by row; very long
+texts and very long words are encoded whole, in linear time; merges of equal rank
+do not exist, so there are no ties; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Defined cases: vectors that are null, or hold null or non-finite components,
 and rows with a null id take no part; rows with one id count once (the
 smallest vector); shorter vectors are padded with zeros; ties go to the
 smaller id; fewer than k candidates are all returned; inner products must fit
-64 bits; an empty table gives an empty table.
+64 bits; texts do not occur; other columns are ignored, whatever their names; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations

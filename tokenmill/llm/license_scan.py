@@ -1,6 +1,8 @@
 """License scans (1): a trained paragraph classifier, DataFrame operations only.
 
-A paragraph is a line with a word. Its features are word 1- to 3-grams with a
+A paragraph is a line with a word, together with the lines that hard wrapping cut
+from it: a line of ``MIN_WRAP`` to ``MAX_WRAP`` characters without a closing mark goes on
+in the next line, if that is not blank. Its features are word 1- to 3-grams with a
 cue word: a word of the licence templates that is not an everyday word. A
 multinomial logistic regression with an L1 penalty (sparse weights) tells the
 licence families and ``unknown`` apart. It is fitted with Spark's own
@@ -20,9 +22,11 @@ Scoring is one narrow projection: the weights, bounded by the templates, are
 a constant map. Paragraphs without a cue word have no features and are
 unknown (checked after fitting); they end at the first filter.
 
-Defined cases: null and empty texts have no paragraphs; null ids and repeated
-rows are scored row by row; other columns are ignored, whatever their names;
-an empty table gives an empty table.
+Defined cases: null and empty texts have no paragraphs; very long texts are scored
+paragraph by paragraph, and a paragraph of any length is one row; null ids and repeated
+rows are scored row by row; families with one probability go in the order of
+the model; other columns are ignored, whatever their names; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 MAX_TRAINING_ROWS = 4000
 CONFIRM = 0.6
 UNKNOWN = "unknown"
+MIN_WRAP, MAX_WRAP = 40, 120     # characters of a line that hard wrapping may have cut
 
 # fixed values: short licence statements by family, as projects write them
 TEMPLATES = {
@@ -91,6 +96,12 @@ def paragraph_words(line: Column) -> Column:
     return F.filter(F.transform(parts, lambda w: F.btrim(w, F.lit(".+-"))), lambda w: w != "")
 
 
+def paragraphs(text: Column) -> Column:
+    """The paragraphs of a text: its lines, with wrapped ones joined by a space."""
+    cut = rf"(?md)^([^\n]{{{MIN_WRAP - 1},{MAX_WRAP - 1}}}[^\n.!?:;\s])[ \t\r]*\n(?=[ \t]*\S)"
+    return F.split(F.regexp_replace(text, cut, "$1 "), "\n")
+
+
 def grams(words: Column, cues: Column) -> Column:
     """Distinct 1- to 3-grams that hold a cue word."""
     def of(n: int) -> Column:
@@ -210,7 +221,7 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     model = model or fit_license_model(docs.sparkSession)
     cues = F.lit(cue_words())
     lines = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                        F.posexplode(F.split(F.col(text_col), "\n")).alias("paragraph", "text"))
+                        F.posexplode(paragraphs(F.col(text_col))).alias("paragraph", "text"))
     words = lines.select("*", paragraph_words(F.col("text")).alias("w")).filter(F.arrays_overlap("w", cues))
     scored = scores(words.select("*", grams(F.col("w"), cues).alias("grams")), "grams", model)
     best = F.array_position("z", F.array_max("z")).cast("int")

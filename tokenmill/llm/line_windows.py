@@ -16,7 +16,9 @@ pre-aggregated before the shuffle and its join can be split.
 Defined cases: null and empty texts have no lines and stay as they are;
 fewer lines than a window: nothing is removed; rows with a null id are only
 cleaned of their own repetitions; rows that share an id are one document;
-further columns are untouched; an empty table gives an empty table.
+a very long text is one list of lines and hashes; equal windows of one document are
+ranked by place; further columns are untouched, whatever their names; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations

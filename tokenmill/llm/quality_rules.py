@@ -8,8 +8,9 @@ lines, repeated 8-word windows) come from the same pass. The job is one
 narrow map over whole texts: no shuffle, nothing kept between rows.
 
 Defined cases: null or empty text has no words, fails the base rule and is
-rejected; null ids, repeated rows and further columns pass through (one
-result per input row); an empty table gives an empty table.
+rejected; very long texts and lines are judged whole; of equal lines the first is no
+repetition; null ids, repeated rows and further columns, whatever their names, pass
+through (one result per input row); an empty table gives an empty table.
 """
 
 from __future__ import annotations

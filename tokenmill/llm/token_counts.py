@@ -18,7 +18,9 @@ The job is one narrow map.
 
 Defined cases: a null field is an empty section; a null or empty text still
 has its other fields' tokens; null ids, repeated rows and empty tables go row
-by row; other columns are ignored, whatever their names.
+by row; a very long text is encoded whole, one document at a time; a token that two
+sections share alike goes to the first of them; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

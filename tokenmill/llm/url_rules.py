@@ -11,14 +11,20 @@ the rules and travels to the tasks; URLs are judged in one narrow pass.
 Which rule wins: host/path rules before expressions, longer ones first.
 Without a rule of either kind the verdict is allow.
 
+Rules are a list, or a table of up to ``MAX_RULES`` rows (:func:`rules_from_table`); a
+longer one is refused, as every worker holds the index.
+
 Defined cases: a null URL or one without ``://`` has an empty host and path
-and is allowed; null ids, repeated rows and empty tables go row by row.
+and is allowed; very long URLs are matched whole; of rules that fit, a host/path
+rule goes before a pattern, then the longest, then the last in order; null ids,
+repeated rows and empty tables go row by row; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,6 +35,7 @@ from tokenmill.llm.common import map_batches, spread
 
 TOKEN = r"[a-z0-9]+"
 _token = re.compile(TOKEN)
+MAX_RULES = 200_000
 
 
 @dataclass(frozen=True)
@@ -67,6 +74,30 @@ def default_rules() -> list[UrlRule]:
     return [host_path_rule(*r) for r in HOST_RULES] + [word_rule("block", w) for w in SPAM_WORDS]
 
 
+def rules_from_table(rules: DataFrame) -> list[UrlRule]:
+    """Rules of a table ``(verdict, host, path, words)``: host and path rules have a host,
+    pattern rules have words."""
+    rows = rules.select("verdict", "host", "path", "words").limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    return [host_path_rule(r["verdict"], r["host"], r["path"] or "") if r["host"] is not None
+            else word_rule(r["verdict"], r["words"]) for r in rows]
+
+
+def rule_index(rules: list[UrlRule], counts: dict[str, int]) -> dict[str, list[UrlRule]]:
+    """Every rule filed under its rarest token."""
+    index: dict[str, list[UrlRule]] = defaultdict(list)
+    for r in rules:                               # a rule without a token is tried on every URL
+        index[min(r.literals, key=lambda t: (counts.get(t, 0), t), default="")].append(r)
+    return dict(index)
+
+
+def candidates(index: dict, host: str, path: str) -> Iterator:
+    """What is filed under the tokens of a URL."""
+    for t in ("", *dict.fromkeys(_token.findall((host + path).lower()))):
+        yield from index.get(t, ())
+
+
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; both empty without ``://``."""
     rest = F.coalesce(F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1), F.lit(""))
@@ -92,22 +123,18 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule] | None = None, id_col: str
     host, path = url_parts(F.col(url_col))
     parts = pages.select(F.col(id_col).cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
     counts = token_counts(parts, sorted({t for r in rules for t in r.literals}))
-    index: dict[str, list[UrlRule]] = defaultdict(list)
-    for r in rules:
-        index[min(r.literals, key=lambda t: (counts.get(t, 0), t))].append(r)
-    bc = pages.sparkSession.sparkContext.broadcast(dict(index))
+    bc = pages.sparkSession.sparkContext.broadcast(rule_index(rules, counts))
 
     def run(b: pa.RecordBatch) -> dict:
         by_token = {t: [(r, re.compile(r.pattern)) for r in rs] for t, rs in bc.value.items()}
         found: dict[str, list] = {"rule": [], "verdict": [], "pattern": []}
         for h, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             best = None
-            for t in dict.fromkeys(_token.findall((h + p).lower())):
-                for r, expression in by_token.get(t, ()):
-                    where = h + p if r.rank else (h + p).lower()
-                    if (best is None or (r.rank, len(r.text), r.text) > (best.rank, len(best.text), best.text)) \
-                            and expression.search(where):
-                        best = r
+            for r, expression in candidates(by_token, h, p):
+                where = h + p if r.rank else (h + p).lower()
+                if (best is None or (r.rank, len(r.text), r.text) > (best.rank, len(best.text), best.text)) \
+                        and expression.search(where):
+                    best = r
             found["rule"].append(best.text if best and best.rank else None)
             found["verdict"].append(best.verdict if best else "allow")
             found["pattern"].append(best.text if best and not best.rank else None)
