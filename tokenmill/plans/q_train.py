@@ -232,7 +232,46 @@ def _with_bytes(spark, m: BpeModel):
     return m.merges_df(spark).join(F.broadcast(lv), "left").join(F.broadcast(rv), "right")
 
 
-@register("T9_pair_repr")
+# One UTF-8 sequence in hex digits, or the longest part of one that can be replaced as a whole.
+_ONE_CHAR = "[0-7].|(?:C[2-9A-F]|D.)[89AB].|E0[AB].[89AB].|(?:E[1-9A-CEF])[89AB].[89AB].|ED[89].[89AB].|" \
+            "F0[9AB].[89AB].[89AB].|F[1-3][89AB].[89AB].[89AB].|F48.[89AB].[89AB]."
+_CHAR_PARTS = _ONE_CHAR + "|E0[AB].|E[1-9A-CEF][89AB].|ED[89].|F0[9AB].[89AB].|F[1-3][89AB].[89AB].|F48.[89AB].|" \
+                          "F0[9AB].|F[1-3][89AB].|F48.|.."
+
+
+def _byte(k: int) -> str:
+    return f"('0x' || substr(x, {2 * k + 1}, 2))::int"
+
+
+def repr_sql(hexes: str) -> str:
+    """T9 of bytes given as upper-case hex digits: lenient UTF-8, then the escapes of a Python string."""
+    code = (f"case when not regexp_full_match(x, '{_ONE_CHAR}') then 65533 when len(x) = 2 then {_byte(0)} "
+            f"when len(x) = 4 then ({_byte(0)} & 31) * 64 + ({_byte(1)} & 63) "
+            f"when len(x) = 6 then (({_byte(0)} & 15) * 64 + ({_byte(1)} & 63)) * 64 + ({_byte(2)} & 63) "
+            f"else ((({_byte(0)} & 7) * 64 + ({_byte(1)} & 63)) * 64 + ({_byte(2)} & 63)) * 64 + ({_byte(3)} & 63) end")
+    codes = f"list_transform(regexp_extract_all({hexes}, '{_CHAR_PARTS}'), lambda x: {code})"
+    both = f"(list_contains({codes}, 39) and list_contains({codes}, 34))"
+    shown = (f"case when c = 92 then chr(92) || chr(92) when c = 10 then chr(92) || 'n' when c = 13 then chr(92) || 'r' "
+             f"when c = 9 then chr(92) || 't' when c = 39 and {both} then chr(92) || chr(39) "
+             f"when c = 32 or not (c < 32 or regexp_matches(chr(c), '[\\p{{Z}}\\p{{C}}]')) then chr(c) "
+             f"when c < 256 then chr(92) || 'x' || lpad(to_hex(c), 2, '0') "
+             f"when c < 65536 then chr(92) || 'u' || lpad(to_hex(c), 4, '0') "
+             f"else chr(92) || 'U' || lpad(to_hex(c), 8, '0') end")
+    shown = shown.replace("to_hex(c)", "lower(to_hex(c))")
+    return f"array_to_string(list_transform({codes}, lambda c: {shown}), '')"
+
+
+@register("T9_pair_repr", f"""with recursive {MODEL_CTES},
+parts(id, rest) as (select new_id, '<' || "left" || '><' || "right" || '>' from {MODEL_M}
+  union all select p.id, replace(p.rest, '<' || m.new_id || '>', '<' || m."left" || '><' || m."right" || '>')
+  from parts p join {MODEL_M} m on m.new_id = (select max(y::int) from unnest(string_split(p.rest[2:-2], '><')) u(y))),
+bytes as (select id, upper(array_to_string(list_transform(string_split(rest[2:-2], '><'),
+            lambda x: lpad(to_hex(x::int - 19), 2, '0')), '')) as h from parts
+          where list_max(list_transform(string_split(rest[2:-2], '><'), lambda x: x::int)) < {FIRST_MERGE_ID}
+          union all select 19 + range::int, upper(lpad(to_hex(range), 2, '0')) from range(256))
+select rank, '(' || {repr_sql('l.h')} || ' , ' || {repr_sql('r.h')} || ')' as pair
+from {MODEL_M} join bytes l on l.id = "left" join bytes r on r.id = "right"
+""")
 def t9_pair_repr(spark, sf):
     """Printable form of the pair of every merge (held against Python's repr in the tests)."""
     return _with_bytes(spark, trained_model(spark, sf)).select("rank", pair_repr("lb", "rb").alias("pair"))
