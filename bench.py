@@ -22,7 +22,7 @@ from tokenmill.operators.codec import decode_corpus, encode_corpus  # noqa: E402
 from tokenmill.operators.stats import pair_freq, stream_pair_freq, training_documents, word_freq  # noqa: E402
 from tokenmill.operators.train import train_bpe  # noqa: E402
 from tokenmill.operators.vectors import causal_history  # noqa: E402
-from tokenmill.operators.windows import context_windows, shuffle_batches, token_stream  # noqa: E402
+from tokenmill.operators.windows import context_windows, example_count, permuted_batches, token_stream  # noqa: E402
 from tokenmill.session import get_spark  # noqa: E402
 from tokenmill.sources.corpus import read_table  # noqa: E402
 
@@ -57,7 +57,11 @@ def main():
     timed("e4_decode", lambda: run(decode_corpus(enc, model)))
     # the stream is built (and its documents encoded) inside the timed part
     timed("p2_windows_stride1", lambda: run(context_windows(token_stream(enc), 32, stride=1)))
-    timed("p3_shuffle_batches", lambda: run(shuffle_batches(context_windows(token_stream(enc), 32, stride=32), 4)))
+    def batches():
+        stream = token_stream(enc)
+        run(permuted_batches(context_windows(stream, 32, stride=32), 4, example_count(stream, 32, 32)))
+
+    timed("p3_shuffle_batches", batches)
     emb = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("v"))
     conv = read_table(spark, sf, "conversations").select(
         "conv_id", "turn", F.pmod(F.col("conv_id") * 31 + F.col("turn"), F.lit(emb.count())).alias("k"))
