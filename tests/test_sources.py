@@ -131,3 +131,16 @@ def test_splits_are_pruned(spark, tmp_path):
     assert len(read_corpus(spark, str(tmp_path / "c"), split="train", max_examples=4).collect()) == 4
     with pytest.raises(ValueError):
         read_corpus(spark, "/root/testdata/sf0.001/documents.parquet", split="train")
+
+
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """A file in many splits whose rows are all in one row group: one split would read everything."""
+    from pyspark.sql import functions as F
+    from tokenmill.session import session_conf
+    from tokenmill.sources.corpus import read_table
+    spark.range(4000).selectExpr("id as doc_id", "sha2(string(id), 512) as text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "0"}):
+        assert spark.read.parquet(f"{tmp_path}/documents.parquet").rdd.getNumPartitions() >= 4
+        got = read_table(spark, str(tmp_path), "documents")
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
