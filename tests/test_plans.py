@@ -39,3 +39,25 @@ def test_approximate_summary(spark):
             assert abs(near[c] - v) <= (0.03 * v if c.startswith("distinct") else 0), (by, c)
     assert corpus_stats_approx(docs.limit(0), docs.limit(0)).first().asDict() == {
         "articles_read": 0, "articles_kept": 0, "distinct_words": 0, "total_tokens": 0, "distinct_pairs": 0}
+
+
+def test_stream_pairs_are_counted_per_batch(spark):
+    """A byte pair of a batch is one row, not one per place; counts and first places are those of every place."""
+    from tokenmill.functions.text import clean_text, isolate_digits
+    from tokenmill.operators.stats import stream_pair_freq
+    texts = {5: "aaa b1", 2: None, 9: "ba é", 1: "", 3: "é\n\naa", 7: "x"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    raw = {r[0]: (r[1] or "").encode() for r in df.select("doc_id", isolate_digits(clean_text("text"))).collect()}
+    for cross in (False, True):
+        want, last = {}, None
+        for d in sorted(raw):
+            if cross and last is not None and raw[d]:
+                at = want.setdefault((raw[last][-1], raw[d][0]), [0, last, len(raw[last]) - 1])
+                at[0] += 1
+            for i in range(len(raw[d]) - 1):
+                at = want.setdefault((raw[d][i], raw[d][i + 1]), [0, d, i])
+                at[0] += 1
+            last = d if raw[d] else last
+        got = stream_pair_freq(df, cross_docs=cross)
+        assert "regexp_extract_all" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {(r["left"] - 19, r["right"] - 19): [r["freq"], r["first_doc"], r["first_pos"]] for r in got.collect()} == want
