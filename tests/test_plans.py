@@ -61,3 +61,18 @@ def test_stream_pairs_are_counted_per_batch(spark):
         got = stream_pair_freq(df, cross_docs=cross)
         assert "regexp_extract_all" not in got._jdf.queryExecution().executedPlan().toString()
         assert {(r["left"] - 19, r["right"] - 19): [r["freq"], r["first_doc"], r["first_pos"]] for r in got.collect()} == want
+
+
+def test_pairs_of_the_summary_are_distinct_per_batch(spark):
+    """The pairs inside pre-tokens come once per part and batch, whatever control characters a text has."""
+    import pyarrow as pa
+    from tokenmill.functions.text import marked_tokens, pre_tokenize
+    from tokenmill.operators.stats import _distinct_pairs
+    texts = [("p", "ab ab\x00\x01!"), (None, "é's"), ("q", ""), ("p", None), ("p", "ba1ba\x01\x02"), (None, "aab")]
+    df = spark.createDataFrame(texts, "part string, text string")
+    for clean in (True, False):
+        rows = df.select("part", marked_tokens("text", clean).alias("t"), pre_tokenize("text", clean).alias("w")).collect()
+        want = sorted({(str(r["part"]), a << 8 | b) for r in rows for w in r["w"] for a, b in zip(w.encode(), w.encode()[1:])})
+        batch = pa.RecordBatch.from_arrays([pa.array([r["part"] for r in rows]), pa.array([r["t"] for r in rows])], names=["part", "t"])
+        got = next(_distinct_pairs(iter([batch]))).to_pylist()
+        assert sorted((str(r["part"]), r["pair"]) for r in got) == want

@@ -10,6 +10,7 @@ from tokenmill.operators.stats import (
 )
 from tokenmill.plans import sqlparts as Q
 from tokenmill.plans.catalog import register
+from tokenmill.session import cut_lineage
 from tokenmill.sources.corpus import read_table
 
 WORDS_SQL = f"""(select word, count(*)::bigint as n
@@ -68,7 +69,7 @@ select (select count(*) from documents)::bigint as articles_read,
 def a2_corpus_stats_approx(spark, sf):
     """The summary from one sketch per source; both estimates held against the exact counts (3 %)."""
     docs = read_table(spark, sf, "documents")
-    freq = word_freq(docs)
+    freq = cut_lineage(word_freq(docs))      # counted once for words and for pairs
     exact = corpus_stats(docs, docs, freq, pair_freq(freq)).select(
         F.col("distinct_words").alias("w"), F.col("distinct_pairs").alias("p"))
     near = corpus_stats_approx(docs, docs, by="source")
