@@ -147,6 +147,25 @@ def test_special_strings_are_special_tokens(spark, documents):
         assert got[i] == b"".join(v.to_bytes(4, "little") for v in ids), x
 
 
+def test_rare_words_are_forgotten_and_frequent_ones_stay():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    table = best_fit.WordIds(t, remember=60)
+    made, make = Counter(), table.cores.make
+    table.cores.make = lambda low: made.update([low]) or make(low)
+    rng = random.Random(12)
+    often = ["The", "river,", "and", "its", "Old", "Bridge.", "1844", "caf\u00e9s"]
+    for _ in range(60):
+        words = often + ["".join(rng.choices("abcdefghij", k=9)) + rng.choice(["", ",", "!?", "7"]) for _ in range(25)]
+        rng.shuffle(words)
+        want = t.encode(" ".join(words), add_special_tokens=False).ids
+        assert table.ids([w.encode() for w in words]) == b"".join(i.to_bytes(4, "little") for i in want)
+        for cache in (table.words, table.cores, table.others):
+            assert len(cache) <= 60 and len(cache.before) <= 60
+    assert len(made) > 500
+    assert {made[w] for w in ("the", "river", "and", "its", "old", "bridge", "caf\u00e9s")} == {1}
+
+
 def test_plan_uses_exact_complements():
     plan = best_fit.plan_packing({60: 2, 40: 1, 20: 2, 50: 2, 33: 1, 34: 1, 30: 1, 3: 1}, 100)
     assert sum(m for _, m in plan.groups) == 4

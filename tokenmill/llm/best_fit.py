@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
+from collections.abc import Callable
 from unicodedata import is_normalized
 
 import numpy as np
@@ -39,7 +40,7 @@ from tokenmill.llm.common import cut_lineage, map_batches, spread, texts_as_byte
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 500_000       # per worker and cache
+CACHE_WORDS = 250_000       # per worker, cache and generation
 
 
 # ------------------------------------------------------------------ 1: token ids and pieces
@@ -48,7 +49,27 @@ _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _PRINTABLE = {b: ord(c) for b, c in byte_to_printable_map().items()}
 
 
-class WordIds(dict):
+class Recent(dict):
+    """Remembers what ``make`` gives for a key. Two generations of ``size`` keys: a full
+    one becomes the older one, and keys in use come back from it, so words that are
+    rare go and frequent ones stay."""
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.size, self.before = make, size, {}
+
+    def __missing__(self, key):
+        got = self.before.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
+class WordIds:
     """Word -> its ids as little-endian 32-bit integers. White space parts
     words in this tokenizer and is dropped, so words encode one by one. It
     lower-cases, and marks after letters are tokens of their own, so most new
@@ -56,82 +77,61 @@ class WordIds(dict):
     model, and a tail of marks; all others take the whole tokenizer, so also
     every word with a special string (marks around letters) in it."""
 
-    def __init__(self, tokenizer):
-        super().__init__()
+    def __init__(self, tokenizer, remember: int = CACHE_WORDS):
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.cores: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> bytes:
-        self.new.append(word)
-        return b""
+        self.words = Recent(self._encode, remember)
+        self.cores = Recent(self._core, remember)
+        self.others = Recent(self._other, remember)
 
     def ids(self, words: list[bytes]) -> bytes:
         """Ids of all words in order."""
-        out = b"".join(map(self.__getitem__, words))
-        if self.new:
-            if len(self) > CACHE_WORDS:
-                self.clear()
-                self.new = words
-            for w in self.new:
-                if w not in self:
-                    self[w] = self._encode(w)
-            self.new = []
-            out = b"".join(map(self.__getitem__, words))
-        return out
+        return b"".join(map(self.words.__getitem__, words))
 
     def _encode(self, word: bytes) -> bytes:
         s = word.decode()
         core = s.rstrip(_MARKS)
         if core.isalpha() and core[-1] < "\u3000" and is_normalized("NFC", core):
-            low = core.lower()
             # the letters whose lower case depends on more than the letter take the other way
             if "\u03a3" not in core and "\u0130" not in core:
-                got = self.cores.get(low)
-                if got is None:
-                    if len(self.cores) > CACHE_WORDS:
-                        self.cores.clear()
-                    text = low.encode().decode("latin-1").translate(_PRINTABLE)
-                    got = self.cores[low] = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-                return got + self._other(s[len(core):]) if len(core) < len(s) else got
-        return self._other(s)
+                got = self.cores[core.lower()]
+                return got + self.others[s[len(core):]] if len(core) < len(s) else got
+        return self.others[s]
+
+    def _core(self, low: str) -> bytes:
+        text = low.encode().decode("latin-1").translate(_PRINTABLE)
+        return np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
 
     def _other(self, s: str) -> bytes:
-        got = self.others.get(s)
-        if got is None:
-            if len(self.others) > CACHE_WORDS:
-                self.others.clear()
-            got = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
-            self.others[s] = got
-        return got
+        return np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-_tokenizers: dict[int, WordIds] = {}
+_tokenizers: dict[tuple[int, int], WordIds] = {}
 
 
-def _word_ids(bc) -> WordIds:
-    key = hash(bc.value)
+def _word_ids(bc, remember: int) -> WordIds:
+    key = hash(bc.value), remember
     if key not in _tokenizers:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         _tokenizers.clear()
-        _tokenizers[key] = WordIds(Tokenizer.from_str(bc.value))
+        _tokenizers[key] = WordIds(Tokenizer.from_str(bc.value), remember)
     return _tokenizers[key]
 
 
 def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+                    remember: int = CACHE_WORDS) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids BINARY])``, one row per piece;
-    ``ids`` holds little-endian unsigned 32-bit integers."""
+    ``ids`` holds little-endian unsigned 32-bit integers. ``remember`` bounds what a
+    worker keeps of its words and changes no result."""
     with open(tokenizer_path, encoding="utf-8") as f:
         bc = docs.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
 
     def run(b: pa.RecordBatch) -> dict:
-        table = _word_ids(bc)
+        table = _word_ids(bc, remember)
         out = defaultdict(list)
         for doc, text in zip(b.column(0).to_pylist(), texts_as_bytes(b.column(1))):
             ids = table.ids(text.split()) + end
@@ -335,7 +335,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                   with_ids: bool = True) -> DataFrame:
+                   with_ids: bool = True, remember: int = CACHE_WORDS) -> DataFrame:
     """Pieces of all documents with their place: ``doc_id, piece, start, length,
     ids_crc32, [ids,] sequence_id, offset``."""
-    return place_pieces(document_pieces(docs, tokenizer_path, capacity, end_id, with_ids=with_ids), capacity)
+    return place_pieces(document_pieces(docs, tokenizer_path, capacity, end_id, with_ids=with_ids,
+                                        remember=remember), capacity)
