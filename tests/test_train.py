@@ -176,3 +176,101 @@ def test_lossless_flavour_offsets(spark):
     ids = {tuple(25 + b for b in w.encode()): n for w, n in corpus.items()}
     want, _ = train_exact(ids, 4, first_id=281)
     assert m.merges == want
+
+
+def brute_rows(rnd, n, ids, docs):
+    return [([rnd.choice(ids) for _ in range(rnd.choice([0, 1, 2, 9, 30]))], rnd.choice([1, 1, 3]), rnd.choice(docs)) for _ in range(n)]
+
+
+def strings_of(spark, rows):
+    return spark.createDataFrame([("".join(map(sym, w)), n, d) for w, n, d in rows], "syms string, n long, doc long").repartition(3)
+
+
+def packed_of(spark, rows):
+    import numpy as np
+    from tokenmill.operators.active_runs import pack
+    made = [(pack(np.array(w, np.int64), np.array([0, len(w)])).to_pylist()[0], len(w), n, d) for w, n, d in rows]
+    return spark.createDataFrame(made, "syms binary, size long, n long, doc long").repartition(3)
+
+
+def brute_runs(w, active):
+    cuts = [0, *[i for i in range(1, len(w)) if (w[i - 1], w[i]) not in active], len(w)]
+    return [(a, tuple(w[a:z])) for a, z in zip(cuts, cuts[1:])]
+
+
+def test_passes_over_strings_against_brute_force(spark):
+    """Few ids and many, documents in no order and repeated, weights; with places and without."""
+    import numpy as np
+    import pyarrow as pa
+    from tokenmill.operators import active_runs as ar
+    rnd = random.Random(8)
+    for ids, docs in (([19, 20, 21], range(200)), ([30, 5000, 1_048_575], range(-5, 9))):
+        rows = brute_rows(rnd, 80, ids, docs)
+        pairs, runs, active = {}, {}, {(ids[0], ids[1]), (ids[1], ids[1]), (ids[2], ids[0])}
+        for w, n, d in rows:
+            for i, p in enumerate(zip(w, w[1:])):
+                f, at = pairs.get(p, (0, (d, i)))
+                pairs[p] = f + n, min(at, (d, i))
+            for i, r in brute_runs(w, active):
+                if len(r) > 1:
+                    f, at = runs.get(r, (0, (d, i)))
+                    runs[r] = f + n, min(at, (d, i))
+        work = strings_of(spark, rows)
+        packed = packed_of(spark, rows)
+        for placed, table in ((True, work), (False, work.drop("doc")), (True, packed), (False, packed.drop("doc"))):
+            got = {(r["l"], r["r"]): (r["f"], (r["doc"], r["pos"]) if placed else None) for r in ar.pair_counts(table).collect()}
+            assert got == {k: (f, at if placed else None) for k, (f, at) in pairs.items()}
+            got = {tuple(np.frombuffer(r["run"], "<u4").tolist()): (r["n"], (r["doc"], r["pos"]) if placed else None)
+                   for r in ar.distinct_runs(table, list(active)).collect()}
+            assert got == {k: (f, at if placed else None) for k, (f, at) in runs.items()}
+        short = {r: (77,) * rnd.randint(1, len(r) - 1) for r in list(runs)[::2]}
+        merged = {np.array(k, "<u4").tobytes(): np.array(v, "<u4").tobytes() for k, v in short.items()}
+        want = sorted(("".join(sym(i) for _, r in brute_runs(w, active) for i in short.get(r, r) if w), n, d) for w, n, d in rows)
+        assert sorted(tuple(r) for r in ar.rewrite_runs(work, list(active), merged).collect()) == want
+        after = ar.rewrite_runs(packed, list(active), merged).collect()
+        assert sorted(("".join(map(sym, ar.unpack(pa.array([r["syms"]], pa.binary()), np.array([r["size"]]))[0])), r["n"], r["doc"])
+                      for r in after) == want
+
+
+def test_runs_of_a_task_are_summed_before_they_are_passed_on(spark):
+    """Not once per Arrow batch."""
+    from tokenmill.operators import active_runs as ar
+    from tokenmill.session import session_conf
+    rows = spark.range(9000).select(F.lit((sym(19) + sym(20) + sym(99)) * 3).alias("syms"), F.lit(1).cast("long").alias("n"), F.col("id").alias("doc"))
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        runs = ar.distinct_runs(rows.coalesce(1), [(19, 20)])
+        assert [(r["n"], r["doc"], r["pos"]) for r in runs.collect()] == [(27_000, 0, 0)]
+        node = runs._jdf.queryExecution().executedPlan()
+        while "MapInArrow" not in node.nodeName():
+            node = node.children().apply(0)
+        assert node.metrics().apply("pythonNumRowsReceived").value() == 1
+
+
+def test_stream_symbols_are_the_joined_pre_tokens(spark):
+    from test_text import py_clean, py_pretok
+    from tokenmill.operators.train_stream import stream_symbols
+    texts = ["don't  x12\r\n\x00y\x01", "", None, " \t ", "h\u00e9 \U0001f600!'s"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    import numpy as np
+    import pyarrow as pa
+    from tokenmill.operators.active_runs import unpack
+    got = {r["doc_id"]: unpack(pa.array([r["syms"]], pa.binary()), np.array([r["size"]]))[0].tolist() for r in stream_symbols(df).collect()}
+    assert got == {i: [19 + b for b in "".join(py_pretok(py_clean(t or ""))).encode()] for i, t in enumerate(texts)}
+
+
+def test_streams_are_checkpointed_packed(spark):
+    """Less than the text's own size, where a symbol string has four bytes for each of its bytes."""
+    import os
+
+    from tokenmill.operators.train_stream import train_bpe_stream
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "eps"]) for _ in range(3000)) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def files():
+        return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names}
+    before = files()
+    model = train_bpe_stream(df, 275 + 3, active=1)         # more rounds than one
+    assert len(model.merges) == 3 and model.rounds > 1
+    assert 0 < sum(n for f, n in files().items() if f not in before) < 2 * sum(map(len, texts))
